@@ -17,9 +17,16 @@ def rate(name: str) -> Column:
     return 100 * F.avg(flag(name))
 
 
-def cpo(contacts_with_order: Column) -> Column:
+def distinct_orders(max_error: float | None = None) -> Column:
+    """Exact unless a relative error is allowed, in which case no order id is shuffled."""
+    if max_error is None:
+        return F.countDistinct("orden_asociada")
+    return F.approx_count_distinct("orden_asociada", max_error)
+
+
+def cpo(contacts_with_order: Column, max_error: float | None = None) -> Column:
     """Contacts per distinct order; NULL when there is no order."""
-    return F.try_divide(contacts_with_order, F.countDistinct("orden_asociada"))
+    return F.try_divide(contacts_with_order, distinct_orders(max_error))
 
 
 # name -> decimals shown by the KPI views

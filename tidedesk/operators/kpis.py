@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidedesk.functions import measures
 from tidedesk.functions.contact import event_hour, flag, within_sla
-from tidedesk.functions.measures import DECIMALS, MEANS, cpo as cpo_ratio, rounded
+from tidedesk.functions.measures import DECIMALS, MEANS, rounded
 from tidedesk.schema import SLA_TARGET_PCT, SLA_THRESHOLD_SECONDS
 
 KPIS = ("sla_pct", "abandono_pct", "aht_seg", "fcr_pct", "csat_prom")
@@ -49,13 +50,16 @@ def kpis_by_agent(contacts: DataFrame) -> DataFrame:
     return served.groupBy("agente_id").agg(_total("contactos_atendidos"), *rounded("aht_seg", "fcr_pct", "csat_prom"))
 
 
-def cpo(contacts: DataFrame) -> DataFrame:
-    """Contacts per order. The distinct count merges map-side, so a hot order costs one row per task."""
+def cpo(contacts: DataFrame, max_error: float | None = None) -> DataFrame:
+    """Contacts per order. The distinct count merges map-side, so a hot order costs one row per task.
+
+    ``max_error`` trades the exact count of orders for an estimate within that relative error.
+    """
     with_order = contacts.where(F.col("orden_asociada").isNotNull())
     return with_order.agg(
         _total("contactos_con_orden"),
-        F.countDistinct("orden_asociada").alias("ordenes_distintas"),
-        F.round(cpo_ratio(F.count("*")), 2).alias("cpo"),
+        measures.distinct_orders(max_error).alias("ordenes_distintas"),
+        F.round(measures.cpo(F.count("*"), max_error), 2).alias("cpo"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidedesk.functions.contact import event_hour, within_sla
@@ -76,11 +76,11 @@ def mix_vs_plan(contacts: DataFrame, plan: DataFrame, dimension: str) -> DataFra
 def demand_curve(contacts: DataFrame, curve: DataFrame | None = None) -> DataFrame:
     """Contacts per hour as a fraction of the busiest hour, against the configured factor.
 
-    The counts have at most 24 rows, so they are broadcast and their maximum needs no partitioning.
+    The counts have at most 24 rows, so they may be broadcast and share one window.
     """
     curve = hourly_catalogue(contacts.sparkSession) if curve is None else curve
     by_hour = contacts.groupBy(event_hour().alias("hora")).agg(F.count("*").alias("contactos"))
-    peak = by_hour.agg(F.max("contactos")).scalar()
+    peak = F.max("contactos").over(Window.partitionBy())
     observed = by_hour.withColumn("fraccion", F.round(F.col("contactos") / peak, 4))
     fraction = F.coalesce("fraccion", F.lit(0.0))
     return curve.join(F.broadcast(observed), "hora", "left").select(

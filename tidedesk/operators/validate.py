@@ -40,57 +40,54 @@ def validate(
     empty text, 0 and false count as present. A message is checked for its encoding, then for being
     one JSON object, then for its required fields, then for the declared types.
 
-    A valid message costs two parses. The lenient, string-typed parses that tell rejects apart run
-    for rejects only.
+    A valid message costs two parses. The lenient, string-typed parses that tell rejects apart
+    run for rejects only.
     """
-    text = F.col("_text")
-    labelled_ddl = "struct<" + ", ".join(f"{name}: string" for name in required) + ">"
-    readable = (
-        messages.select(*keep, F.col(value).cast("string").alias("_text"))
-        .withColumn("_utf8", F.coalesce(F.is_valid_utf8(text), F.lit(False)))
-        .withColumn("_typed", F.when(F.col("_utf8"), strict_json.parse_member(text, _EVENT_DDL)))
-        .withColumn("_single", F.when(F.col("_utf8"), strict_json.element_count(text, _PROBE_DDL)) == 1)
-        .withColumn(
-            "_fits",
-            F.coalesce(
-                F.col("_typed._bad").isNull() & F.col("_typed.p").isNotNull() & F.col("_single"), F.lit(False)
-            ),
-        )
+    text, utf8 = F.col("_text"), F.col("_utf8")
+    fits = F.coalesce(
+        utf8 & F.col("_typed._bad").isNull() & F.col("_typed.p").isNotNull() & F.col("_single"), F.lit(False)
     )
-    reject = F.col("_utf8") & ~F.col("_fits")
-    labelled = (
-        readable.withColumn("_any", F.when(reject, strict_json.parse_member(text, "string")))
-        .withColumn("_count", F.when(reject, strict_json.element_count(text, "string")))
-        .withColumn(
-            "_value",
-            F.coalesce(F.col("_any").isNotNull() & F.col("_any._bad").isNull() & (F.col("_count") == 1), F.lit(False)),
-        )
-        .withColumn("_object", F.col("_value") & strict_json.starts_object(text))
-        .withColumn("_strings", F.when(F.col("_object"), strict_json.parse_member(text, labelled_ddl)))
-        .withColumn(
-            "_faltantes",
-            F.when(F.col("_fits"), _missing(F.col("_typed.p"), required))
-            .when(F.col("_object"), _missing(F.col("_strings.p"), required))
-            .otherwise(F.array().cast("array<string>")),
+    single_value = F.coalesce(F.col("_any._bad").isNull() & (F.col("_count") == 1), F.lit(False))
+    is_object = single_value & strict_json.starts_object(text)
+    strings_ddl = "struct<" + ", ".join(f"{name}: string" for name in required) + ">"
+
+    raw = F.col(value).cast("string")
+    parsed = (
+        messages.select(*keep, raw.alias("_text"), F.coalesce(F.is_valid_utf8(raw), F.lit(False)).alias("_utf8"))
+        .withColumns(
+            {
+                "_typed": F.when(utf8, strict_json.parse_member(text, _EVENT_DDL)),
+                "_single": F.when(utf8, strict_json.element_count(text, _PROBE_DDL) == 1),
+            }
         )
-        .withColumn(
-            "_error",
-            F.when(~F.col("_utf8"), INVALID_UTF8)
-            .when(~F.col("_fits") & ~F.col("_value"), INVALID_JSON)
-            .when(~F.col("_fits") & ~F.col("_object"), NOT_OBJECT)
-            .when(F.size("_faltantes") > 0, _missing_text(F.col("_faltantes")))
-            .when(~F.col("_fits"), BAD_TYPE),
+        .withColumns(
+            {
+                "_any": F.when(utf8 & ~fits, strict_json.parse_member(text, "string")),
+                "_count": F.when(utf8 & ~fits, strict_json.element_count(text, "string")),
+            }
         )
+        .withColumn("_strings", F.when(utf8 & ~fits & is_object, strict_json.parse_member(text, strings_ddl)))
+    )
+    missing = F.when(fits, _missing(F.col("_typed.p"), required)).otherwise(_missing(F.col("_strings.p"), required))
+    judged = parsed.withColumn(
+        "_faltantes", F.when(fits | is_object, missing).otherwise(F.array().cast("array<string>"))
+    ).withColumn(
+        "_error",
+        F.when(~utf8, INVALID_UTF8)
+        .when(~fits & ~single_value, INVALID_JSON)
+        .when(~fits & ~is_object, NOT_OBJECT)
+        .when(F.size("_faltantes") > 0, _missing_text(F.col("_faltantes")))
+        .when(~fits, BAD_TYPE),
     )
     # A predicate on ``error`` is not pushed through a generator, so splitting the result never
     # repeats the parse inside the filter.
     outcome = F.struct(
-        F.make_valid_utf8(text).alias("raw_payload"),
+        F.when(utf8, text).otherwise(F.make_valid_utf8(text)).alias("raw_payload"),
         F.col("_faltantes").alias("faltantes"),
         F.col("_error").alias("error"),
         F.when(F.col("_error").isNull(), F.col("_typed.p")).alias("evento"),
     )
-    return labelled.select(*keep, F.inline(F.array(outcome)))
+    return judged.select(*keep, F.inline(F.array(outcome)))
 
 
 def valid_rows(validated: DataFrame) -> DataFrame:

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidedesk.functions.contact import contact_line
 from tidedesk.functions.measures import rounded
 from tidedesk.operators.kpis import KPIS
+from tidedesk.operators.validate import valid_rows, validate
 from tidedesk.schema import WINDOW_SECONDS
 
 LATENESS = "2 minutes"
@@ -42,10 +44,12 @@ def live_kpis(contacts: DataFrame, seconds: int = WINDOW_SECONDS, lateness: str
     )
 
 
-def start_live(windows: DataFrame, path: str, checkpoint: str, drain: bool = False, seconds: int = WINDOW_SECONDS):
+def start_live(
+    windows: DataFrame, path: str, checkpoint: str, drain: bool = False, seconds: int = WINDOW_SECONDS
+) -> StreamingQuery:
     """Appends closed windows as Parquet files, each exactly once."""
     trigger = {"availableNow": True} if drain else {"processingTime": f"{seconds} seconds"}
-    query: StreamingQuery = (
+    return (
         windows.writeStream.queryName("contact-live")
         .outputMode("append")
         .format("parquet")
@@ -54,4 +58,21 @@ def start_live(windows: DataFrame, path: str, checkpoint: str, drain: bool = Fal
         .trigger(**trigger)
         .start()
     )
-    return query
+
+
+def message_lines(messages: DataFrame) -> DataFrame:
+    """One readable line per valid message."""
+    return valid_rows(validate(messages)).select(contact_line().alias("linea"))
+
+
+def start_tail(messages: DataFrame, checkpoint: str, drain: bool = False) -> StreamingQuery:
+    """Prints arriving contacts to the driver's console, a screenful per micro-batch."""
+    trigger = {"availableNow": True} if drain else {"processingTime": "1 second"}
+    return (
+        message_lines(messages)
+        .writeStream.format("console")
+        .option("truncate", "false")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )

@@ -10,11 +10,17 @@ from tidedesk.sources.messages import publish_messages
 
 # --- Fixed values: the domain of the driver's tables --------------------------------------------------
 CHANNELS = ["click", "error", "purchase", "signup", "view"]
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
 # --- End of fixed values ------------------------------------------------------------------------------
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def project_events(events: DataFrame, customers: DataFrame) -> DataFrame:
@@ -66,7 +72,7 @@ def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = _table(spark, sf_dir, "nation").join(
         _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    customers = _table(spark, sf_dir, "customer")
     joined = customers.join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_mktsegment", "r_name"
     )
@@ -79,11 +85,16 @@ def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_events(_table(spark, sf_dir, "events"), customer_places(spark, sf_dir))
 
 
-def contact_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same contacts, with ``events`` read as a file stream."""
-    schema = _table(spark, sf_dir, "events").schema
+def contact_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The same contacts, with ``events`` read as a file stream of ``max_files`` per micro-batch.
+
+    Without a limit one micro-batch takes all files, so that no row is late whatever their order.
+    """
+    reader = spark.readStream.schema(SCHEMAS["events"])
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     # The file source takes a folder or a pattern but no single file; this pattern fits either.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    events = reader.parquet(f"{sf_dir}/events.parque[t]")
     return project_events(events, customer_places(spark, sf_dir))
 
 

@@ -72,7 +72,9 @@ over_contacts("scan_contacts", lambda rows: rows.select(*CONTACT_COLUMNS))
 
 @query("registered_views")
 def _registered_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = register_views(contacts(spark, sf_dir))
+    path = work_dir(spark, "views")
+    tables.write_contacts(contacts(spark, sf_dir), path)
+    names = register_views(tables.read_contacts(spark, path))
     return spark.sql(" UNION ALL ".join(f"SELECT '{n}' AS vista, count(*) AS filas FROM {n}" for n in names))
 
 
@@ -150,11 +152,12 @@ def _dlq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dlq_replay")
 def _dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contacts after a replay under a rule that no longer asks for queue and region."""
-    validated = _validated(spark, sf_dir)
+    """The contacts after replaying stored rejects under a rule that no longer asks for queue and region."""
+    store = _ingested(spark, sf_dir)
     relaxed = [name for name in REQUIRED_FIELDS if name not in REPLAY_OPTIONAL]
-    repaired = valid_rows(replay_dlq(dlq_rows(validated), relaxed))
-    return valid_rows(validated).unionByName(repaired)
+    repaired = valid_rows(replay_dlq(tables.read_dlq(spark, store.dlq), relaxed))
+    tables.write_contacts(repaired, store.contacts)
+    return tables.read_contacts(spark, store.contacts).select(*CONTACT_COLUMNS)
 
 
 @query("quality_audit")
@@ -226,7 +229,7 @@ def _create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming
 def _ingested(spark: SparkSession, sf_dir: str, store: ContactStore | None = None) -> ContactStore:
     store = store or ContactStore(work_dir(spark, "ingest"))
-    stream = payloads(contact_stream(spark, sf_dir))
+    stream = payloads(contact_stream(spark, sf_dir, max_files=1000))
     start_ingest(stream, store, f"{store.root}/checkpoint", drain=True).awaitTermination()
     return store
 
