@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
         **{
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.sql.warehouse.dir": str(root / "warehouse"),
             "spark.checkpoint.dir": str(root / "shared"),
         },

@@ -1,0 +1,99 @@
+"""Plans and skew: what must hold when the tables are very large."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as contract
+from tidedesk.operators import kpis
+from tidedesk_checks import projection
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def conf(spark):
+    changed = []
+
+    def put(key, value):
+        spark.conf.set(key, value)
+        changed.append(key)
+
+    yield put
+    for key in changed:
+        spark.conf.unset(key)
+
+
+def final_plan(df):
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def test_customers_are_broadcast_only_within_the_limit(spark, conf):
+    customers = projection._table(spark, SF_DIR, "customer")
+    assert projection.fits_broadcast(customers)
+    conf("spark.sql.autoBroadcastJoinThreshold", "10k")
+    assert not projection.fits_broadcast(customers)
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert not projection.fits_broadcast(customers)
+
+
+def test_hot_customer_is_split_over_tasks(spark, conf):
+    """A third of all events belong to one customer; beyond the broadcast limit the join splits them."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20k")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "20k")
+    events = projection._table(spark, SF_DIR, "events")
+    hot = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 1).otherwise(F.col("user_id")))
+    rows = projection.project_events(hot.repartition(16), projection.customer_places(spark, SF_DIR))
+    result = kpis.kpis_by_queue(rows)
+    assert "skew=true" in final_plan(result)
+    assert result.agg(F.sum("total_contactos")).collect()[0][0] == 10_000
+
+
+def test_results_do_not_depend_on_the_join_strategy(spark, conf):
+    small = {k: sorted(map(str, contract.queries()[k](spark, SF_DIR).collect())) for k in ("kpis_multi", "cpo")}
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for key, expected in small.items():
+        df = contract.queries()[key](spark, SF_DIR)
+        assert sorted(map(str, df.collect())) == expected
+        assert "BroadcastHashJoin" not in final_plan(df)
+
+
+@pytest.mark.parametrize(
+    "key", ["kpis_global", "kpis_by_channel", "kpis_by_agent", "kpis_by_hour", "tile_queue", "heatmap_sla", "scorecards"]
+)
+def test_rows_are_aggregated_before_they_are_shuffled(spark, key):
+    lines = final_plan(contract.queries()[key](spark, SF_DIR)).splitlines()
+    shuffles = [i for i, line in enumerate(lines) if " Exchange " in line and "rangepartitioning" not in line]
+    assert shuffles and all("HashAggregate" in lines[i + 1] for i in shuffles)
+
+
+def test_one_scan_kpis_expand_aggregated_rows_only(spark):
+    plan = final_plan(contract.queries()["kpis_multi"](spark, SF_DIR))
+    assert plan.count("events.parquet") == 1
+    assert plan.index("Expand") < plan.index("ShuffleQueryStage", plan.index("Expand"))
+
+
+@pytest.mark.parametrize("key", ["demand_curve", "quality_audit", "scorecards", "sla_breach"])
+def test_events_are_scanned_once(spark, key):
+    assert final_plan(contract.queries()[key](spark, SF_DIR)).count("events.parquet") == 1
+
+
+def test_total_of_the_mix_reuses_the_counts(spark):
+    df = contract.queries()["mix_vs_plan"](spark, SF_DIR)
+    df.collect()
+    assert "ReusedExchange [canal" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kpis_read_only_their_columns(spark):
+    plan = final_plan(contract.queries()["volume_by_hour"](spark, SF_DIR))
+    scan = next(line for line in plan.splitlines() if "events.parquet" in line)
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in scan
+
+
+def test_no_python_or_single_task_collection_in_any_plan(spark):
+    for key, run in contract.queries().items():
+        plan = run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "PythonUDF" not in plan and "collect_list" not in plan and "collect_set" not in plan, key
