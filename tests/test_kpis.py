@@ -56,8 +56,8 @@ def test_no_contacts(spark):
     assert only(kpis.cpo(none)) == {"contactos_con_orden": 0, "ordenes_distintas": 0, "cpo": None}
     assert only(dashboard.scorecards(dashboard.dashboard_rows(none)))["cpo"] is None
     assert kpis.kpis_by_channel(none).isEmpty()
-    multi = [r.asDict() for r in kpis.kpis_multi(none).collect()]
-    assert all(r["dim"] == "global" and r["total_contactos"] in (0, None) for r in multi)
+    empty = {"dim": "global", "value": None, "total_contactos": 0, **dict.fromkeys(kpis.KPIS)}
+    assert only(kpis.kpis_multi(none)) == empty
 
 
 def test_group_of_abandoned_contacts_only(spark):

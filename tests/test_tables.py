@@ -101,6 +101,18 @@ def test_a_hot_day_is_split_over_several_tasks(spark, rows, tmp_path):
     assert read_contacts(spark, str(path)).count() == 1000
 
 
+def test_without_adaptive_execution_no_day_is_gathered(spark, rows, tmp_path):
+    path = tmp_path / "t"
+    hot = rows.withColumn("timestamp_evento", F.lit("2024-01-05 10:00:00").cast("timestamp")).repartition(6)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_contacts(hot, str(path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(list(path.glob("lote=*/fecha=2024-01-05/*.parquet"))) == 6
+    assert read_contacts(spark, str(path)).count() == 1000
+
+
 def test_json_lines_load(spark, tmp_path):
     good, bad = tmp_path / "good", tmp_path / "bad"
     spark.createDataFrame([(json.dumps(SERVED),), (json.dumps(event(csat=None)),)], "v string").write.text(str(good))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidedesk.functions import measures
 from tidedesk.functions.contact import event_hour, flag, within_sla
 from tidedesk.functions.measures import DECIMALS, MEANS, rounded
-from tidedesk.schema import SLA_TARGET_PCT, SLA_THRESHOLD_SECONDS
+from tidedesk.schema import SLA_TARGET_PCT, SLA_THRESHOLD_SECONDS, literal_rows
 
 KPIS = ("sla_pct", "abandono_pct", "aht_seg", "fcr_pct", "csat_prom")
 
@@ -75,7 +75,9 @@ def kpis_multi(contacts: DataFrame) -> DataFrame:
         *[F.sum(flag(source)).alias(f"{name}_s") for name, (source, _) in MEANS.items()],
         *[F.count(source).alias(f"{name}_n") for name, (source, _) in MEANS.items()],
     )
-    merged = partial.groupingSets([[], ["canal"], ["cola"], ["region"]], *dims).agg(
+    # One empty group, so that the global row exists without contacts too.
+    nothing = literal_rows(contacts.sparkSession, [(0,)], "n bigint")
+    merged = partial.unionByName(nothing, allowMissingColumns=True).groupingSets([[], ["canal"], ["cola"], ["region"]], *dims).agg(
         F.grouping_id().alias("g"),
         F.sum("n").alias("total_contactos"),
         *[
@@ -83,13 +85,14 @@ def kpis_multi(contacts: DataFrame) -> DataFrame:
             for name, (_, factor) in MEANS.items()
         ],
     )
+    groups = merged.where((F.col("g") == 0b111) | (F.col("total_contactos") > 0))
     # grouping_id has one bit per column, set when the column is rolled up: canal, cola, region.
     which = {0b011: "canal", 0b101: "cola", 0b110: "region"}
     dim, value = F.lit("global"), F.lit(None).cast("string")
     for g, name in which.items():
         dim = F.when(F.col("g") == g, name).otherwise(dim)
         value = F.when(F.col("g") == g, F.col(name)).otherwise(value)
-    return merged.select(dim.alias("dim"), value.alias("value"), "total_contactos", *KPIS)
+    return groups.select(dim.alias("dim"), value.alias("value"), "total_contactos", *KPIS)
 
 
 def sla_breach(kpis: DataFrame, target: float = SLA_TARGET_PCT) -> DataFrame:

@@ -37,6 +37,7 @@ SLA_THRESHOLD_SECONDS = 20  # inclusive
 SLA_TARGET_PCT = 80.0
 WINDOW_SECONDS = 60
 MIN_HANDLE_SECONDS = 30
+TOPIC = "contactos-eventos"
 
 CHANNELS = [  # canal, weight, base handle time in seconds
     ("voz", 0.45, 320),

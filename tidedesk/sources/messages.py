@@ -33,12 +33,16 @@ def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
 def read_kafka(
     spark: SparkSession, servers: str, topic: str, max_offsets: int = 50_000_000, **options: str
 ) -> DataFrame:
-    """Needs the Kafka connector on the classpath. ``max_offsets`` bounds one micro-batch."""
+    """Needs the Kafka connector on the classpath. ``max_offsets`` bounds one micro-batch.
+
+    A topic partition that holds far more than the others is read by several tasks.
+    """
     source = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "includeHeaders": "true",
         "maxOffsetsPerTrigger": str(max_offsets),
+        "maxRecordsPerPartition": "500000",
         **options,
     }
     return spark.readStream.format("kafka").options(**source).load().select("value", "headers", "timestamp")

@@ -55,9 +55,11 @@ def new_load_id() -> str:
 def _arranged(rows: DataFrame, day: str, *within: str, count: Observation | None = None) -> DataFrame:
     """Rows of a day together, in tasks of the advisory size: AQE splits a day that is too big for one.
 
+    Without AQE a hash shuffle by day would leave a hot day to one task, so rows stay where they are.
     Rows are counted in the writing stage, whose finished tasks count once even if executors are lost.
     """
-    arranged = rows.hint("rebalance", day)
+    adaptive = rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    arranged = rows.hint("rebalance", day) if adaptive else rows
     if count is not None:
         arranged = arranged.observe(count, F.count("*").alias("filas"))
     return arranged.sortWithinPartitions(day, *within)

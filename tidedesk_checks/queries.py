@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidedesk.functions.contact import contact_line
 from tidedesk.operators import filters, kpis, quality
-from tidedesk.operators.validate import dlq_rows, replay_dlq, valid_rows, validate
+from tidedesk.operators.validate import dlq_rows, valid_rows, validate
 from tidedesk.plans import dashboard
+from tidedesk.plans.replay import replay_store
 from tidedesk.plans.views import register_views
 from tidedesk.schema import CONTACT_COLUMNS, REQUIRED_FIELDS, literal_rows
 from tidedesk.session import pin_utc, work_dir
@@ -155,8 +156,7 @@ def _dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contacts after replaying stored rejects under a rule that no longer asks for queue and region."""
     store = _ingested(spark, sf_dir)
     relaxed = [name for name in REQUIRED_FIELDS if name not in REPLAY_OPTIONAL]
-    repaired = valid_rows(replay_dlq(tables.read_dlq(spark, store.dlq), relaxed))
-    tables.write_contacts(repaired, store.contacts)
+    replay_store(spark, store, relaxed)
     return tables.read_contacts(spark, store.contacts).select(*CONTACT_COLUMNS)
 
 
