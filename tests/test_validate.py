@@ -58,6 +58,12 @@ CASES = [
     (GOOD + "]", "INVALID_JSON"),
     (GOOD + " trailing", "INVALID_JSON"),
     (GOOD[:-5], "INVALID_JSON"),
+    (GOOD[:-1], "INVALID_JSON"),
+    (GOOD[:-1] + ', "x": {"y": 1}', "INVALID_JSON"),
+    (GOOD[:-1] + ', "x": "}"', "INVALID_JSON"),
+    (GOOD[:-1] + ', "x": [1}', "INVALID_JSON"),
+    ('{"p":' + GOOD, "INVALID_JSON"),
+    (GOOD.replace("}", "") + "]}", "INVALID_JSON"),
     (GOOD.replace('"', "'"), "INVALID_JSON"),
     (GOOD.replace("300", "0300"), "INVALID_JSON"),
     (GOOD.replace("300", "tru"), "INVALID_JSON"),

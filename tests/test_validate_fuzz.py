@@ -15,6 +15,7 @@ SEEDS = [
     "{}",
     json.dumps([SERVED]),
     '{"a": {"b": [1, 2, {"c": null}]}}',
+    '{"canal":1}',
 ]
 
 
@@ -50,7 +51,7 @@ def expected(text):
 
 def test_outcomes_follow_the_json_module(spark):
     rng = random.Random(7)
-    texts = sorted({damaged(rng) for _ in range(6000)})
+    texts = sorted({damaged(rng) for _ in range(12000)})
     rows = validate(message_rows(spark, *texts)).select("raw_payload", "error").collect()
     assert len(rows) == len(texts)
     wrong = [

@@ -32,5 +32,15 @@ def element_count(text: Column, ddl: str) -> Column:
     return F.size(F.from_json(_element(text), f"array<{ddl}>", _STRICT))
 
 
+def is_single_object(text: Column, ddl: str) -> Column:
+    """For a text that parses as an object's member: whether nothing follows the first object in it.
+
+    An object ends with a brace. If the text's only closing brace is its last byte, the object ends
+    there; that settles flat messages. Others are parsed once more, as an array's only element.
+    """
+    before_brace = F.octet_length(F.substring_index(text, "}", 1))
+    return F.when(before_brace + 1 == F.octet_length(text), True).otherwise(element_count(text, ddl) == 1)
+
+
 def starts_object(text: Column) -> Column:
     return text.rlike(r"^[ \t\r\n]*\{")

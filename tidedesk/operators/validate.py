@@ -40,44 +40,54 @@ def validate(
     empty text, 0 and false count as present. A message is checked for its encoding, then for being
     one JSON object, then for its required fields, then for the declared types.
 
-    A valid message costs two parses. The lenient, string-typed parses that tell rejects apart
+    A valid flat message costs one parse, one with nested values two. Parses that tell rejects apart
     run for rejects only.
     """
     text, utf8 = F.col("_text"), F.col("_utf8")
-    fits = F.coalesce(
-        utf8 & F.col("_typed._bad").isNull() & F.col("_typed.p").isNotNull() & F.col("_single"), F.lit(False)
-    )
-    single_value = F.coalesce(F.col("_any._bad").isNull() & (F.col("_count") == 1), F.lit(False))
-    is_object = single_value & strict_json.starts_object(text)
+    opens_object = strict_json.starts_object(text)
     strings_ddl = "struct<" + ", ".join(f"{name}: string" for name in required) + ">"
 
+    def read(column: str) -> Column:
+        return F.coalesce(F.col(f"{column}._bad").isNull() & F.col(f"{column}.p").isNotNull(), F.lit(False))
+
+    typed, strings = utf8 & read("_typed"), read("_strings")
+    single = F.coalesce("_single", F.lit(False))
+    other_kind = F.coalesce(F.col("_other") == 1, F.lit(False))
+    fits, is_object = typed & single, (typed | strings) & single
+
     raw = F.col(value).cast("string")
-    parsed = (
+    judged = (
         messages.select(*keep, raw.alias("_text"), F.coalesce(F.is_valid_utf8(raw), F.lit(False)).alias("_utf8"))
+        .withColumn("_typed", F.when(utf8, strict_json.parse_member(text, _EVENT_DDL)))
         .withColumns(
             {
-                "_typed": F.when(utf8, strict_json.parse_member(text, _EVENT_DDL)),
-                "_single": F.when(utf8, strict_json.element_count(text, _PROBE_DDL) == 1),
+                "_strings": F.when(utf8 & ~typed & opens_object, strict_json.parse_member(text, strings_ddl)),
+                "_value": F.when(utf8 & ~typed & ~opens_object, strict_json.parse_member(text, "string")),
             }
         )
         .withColumns(
             {
-                "_any": F.when(utf8 & ~fits, strict_json.parse_member(text, "string")),
-                "_count": F.when(utf8 & ~fits, strict_json.element_count(text, "string")),
+                "_single": F.when(typed | strings, strict_json.is_single_object(text, _PROBE_DDL)),
+                "_other": F.when(
+                    F.col("_value").isNotNull() & F.col("_value._bad").isNull(),
+                    strict_json.element_count(text, "string"),
+                ),
             }
         )
-        .withColumn("_strings", F.when(utf8 & ~fits & is_object, strict_json.parse_member(text, strings_ddl)))
-    )
-    missing = F.when(fits, _missing(F.col("_typed.p"), required)).otherwise(_missing(F.col("_strings.p"), required))
-    judged = parsed.withColumn(
-        "_faltantes", F.when(fits | is_object, missing).otherwise(F.array().cast("array<string>"))
-    ).withColumn(
-        "_error",
-        F.when(~utf8, INVALID_UTF8)
-        .when(~fits & ~single_value, INVALID_JSON)
-        .when(~fits & ~is_object, NOT_OBJECT)
-        .when(F.size("_faltantes") > 0, _missing_text(F.col("_faltantes")))
-        .when(~fits, BAD_TYPE),
+        .withColumn(
+            "_faltantes",
+            F.when(fits, _missing(F.col("_typed.p"), required))
+            .when(is_object, _missing(F.col("_strings.p"), required))
+            .otherwise(F.array().cast("array<string>")),
+        )
+        .withColumn(
+            "_error",
+            F.when(~utf8, INVALID_UTF8)
+            .when(F.size("_faltantes") > 0, _missing_text(F.col("_faltantes")))
+            .when(is_object & ~fits, BAD_TYPE)
+            .when(other_kind, NOT_OBJECT)
+            .when(~is_object, INVALID_JSON),
+        )
     )
     # A predicate on ``error`` is not pushed through a generator, so splitting the result never
     # repeats the parse inside the filter.
