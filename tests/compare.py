@@ -30,8 +30,20 @@ def same(a, b):
     return type(a) is type(b) and a == b
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def assert_equal(df, connection, sql):
     relation = connection.sql(sql)
+    types = dict(zip(relation.columns, map(str, relation.types)))
+    assert {name: SQL_TYPES[kind] for name, kind in df.dtypes} == types
     expected = sorted_rows(relation.columns, relation.fetchall())
     got = sorted_rows(df.columns, [tuple(r) for r in df.collect()])
     assert got[0] == expected[0]

@@ -12,9 +12,11 @@ from tidedesk.schema import CONTACT_COLUMNS
 from tidedesk.session import work_dir
 from tidedesk.sources.tables import (
     ContactStore,
+    consolidate_days,
     create_tables,
     read_contact_json,
     read_contacts,
+    read_days,
     refresh_tables,
     write_contacts,
 )
@@ -113,6 +115,21 @@ def test_without_adaptive_execution_no_day_is_gathered(spark, rows, tmp_path):
     assert read_contacts(spark, str(path)).count() == 1000
 
 
+def test_days_are_consolidated_and_replaced(spark, rows, tmp_path):
+    store = ContactStore(str(tmp_path))
+    write_contacts(rows, store.contacts)
+    consolidate_days(spark, store, date(2024, 1, 3), date(2024, 1, 5))
+    write_contacts(rows.where(F.to_date("timestamp_evento") == "2024-01-05"), store.contacts)
+    consolidate_days(spark, store, date(2024, 1, 5), date(2024, 1, 6))
+    per_day = dict(rows.groupBy(F.to_date("timestamp_evento")).count().collect())
+    expected = {date(2024, 1, d): per_day[date(2024, 1, d)] for d in (3, 4, 5, 6)}
+    expected[date(2024, 1, 5)] *= 2
+    stored = read_days(spark, store)
+    assert dict(stored.groupBy("fecha").count().collect()) == expected
+    assert stored.columns == read_contacts(spark, store.contacts).columns
+    assert len(list(tmp_path.glob("contactos_dias/fecha=*"))) == 4
+
+
 def test_json_lines_load(spark, tmp_path):
     good, bad = tmp_path / "good", tmp_path / "bad"
     spark.createDataFrame([(json.dumps(SERVED),), (json.dumps(event(csat=None)),)], "v string").write.text(str(good))

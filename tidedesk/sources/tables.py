@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,10 @@ class ContactStore:
     def dlq(self) -> str:
         return f"{self.root}/contactos_dlq"
 
+    @property
+    def days(self) -> str:
+        return f"{self.root}/contactos_dias"
+
     @property
     def load_log(self) -> str:
         return f"{self.root}/cargas"
@@ -98,6 +103,28 @@ def replace_load(
     _write(arranged, f"{path}/{LOAD}={load}", day, mode="overwrite", max_records_per_file=MAX_RECORDS_PER_FILE)
 
 
+def consolidate_days(spark: SparkSession, store: ContactStore, start: date, end: date) -> None:
+    """Rewrites the finished days from ``start`` to ``end`` as one clustered partition each.
+
+    A year of 60-second loads is half a million folders; the consolidated copy has one per day. The
+    loads stay, and a repeated run replaces the same days, for instance after late contacts.
+    """
+    finished = read_contacts(spark, store.contacts).where(F.col(DAY).between(F.lit(start), F.lit(end)))
+    (
+        _arranged(finished, DAY, *CLUSTER_BY)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy(DAY)
+        .parquet(store.days)
+    )
+
+
+def read_days(spark: SparkSession, store: ContactStore) -> DataFrame:
+    """The consolidated days, with the columns of ``read_contacts``."""
+    return spark.read.schema(T.StructType([*CONTACT_SCHEMA, _PARTS[DAY]])).parquet(store.days)
+
+
 def _read(spark: SparkSession, path: str, schema: T.StructType, day: str) -> DataFrame:
     declared = T.StructType([*schema, _PARTS[LOAD], _PARTS[day]])
     return spark.read.schema(declared).parquet(path).drop(LOAD)
