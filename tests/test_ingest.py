@@ -123,6 +123,17 @@ def test_new_checkpoint_does_not_replace_earlier_loads(spark, inbox, store, tmp_
     assert read_contacts(spark, store.contacts).count() == 2 * len(GOOD)
 
 
+def test_hot_day_is_split_and_counted(spark, store, tmp_path):
+    hot = message_rows(spark, *[json.dumps(event(contact_id=str(i))) for i in range(2000)], *BAD).repartition(16)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
+    try:
+        assert write_batch(ingest_rows(hot), store, "b") == {"contactos": 2000, "contactos_dlq": 5}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(list(tmp_path.glob("store/contactos/lote=b/fecha=2026-01-01/*.parquet"))) > 1
+    assert read_contacts(spark, store.contacts).select("contact_id").distinct().count() == 2000
+
+
 def test_empty_micro_batch_writes_nothing(spark, store, tmp_path):
     assert write_batch(ingest_rows(message_rows(spark, "x").limit(0)), store, "b") == {}
     assert not (tmp_path / "store").exists()

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidedesk.operators import kpis
+from tidedesk.session import MAX_SHUFFLE_TASKS, fits_broadcast, size_shuffles, work_dir
 from tidedesk_checks import projection
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -31,11 +32,35 @@ def final_plan(df):
 
 def test_customers_are_broadcast_only_within_the_limit(spark, conf):
     customers = projection._table(spark, SF_DIR, "customer")
-    assert projection.fits_broadcast(customers)
+    assert fits_broadcast(customers)
     conf("spark.sql.autoBroadcastJoinThreshold", "10k")
-    assert not projection.fits_broadcast(customers)
+    assert not fits_broadcast(customers)
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
-    assert not projection.fits_broadcast(customers)
+    assert not fits_broadcast(customers)
+
+
+def test_shuffles_grow_with_the_data(spark, conf):
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert size_shuffles(spark, 10**6) == 8
+    conf(initial, "1")
+    assert size_shuffles(spark, 10**12) == 3726 == int(spark.conf.get(initial))
+    assert size_shuffles(spark, 10**15) == MAX_SHUFFLE_TASKS
+
+
+class _Session:
+    """A session on a cluster without a shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(_Session(), "x")
 
 
 def test_hot_customer_is_split_over_tasks(spark, conf):

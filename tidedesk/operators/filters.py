@@ -64,6 +64,8 @@ def cross_filter(rows: DataFrame, dimension: str, value: object) -> DataFrame:
     """Rows of one clicked dimension value; a clicked "no value" keeps the NULL rows."""
     if dimension not in DIMENSIONS:
         raise ValueError(f"{dimension!r} is not a dimension; choose one of {', '.join(DIMENSIONS)}")
+    if dimension == "fecha" and isinstance(value, date):
+        return apply_filters(rows, DashboardFilter(start=value, end=value))
     derived = {"fecha": event_date, "hora_del_dia": event_hour}
     column = derived[dimension]() if dimension in derived and dimension not in rows.columns else F.col(dimension)
     return rows.where(column.isNull() if value is None else column == F.lit(value))

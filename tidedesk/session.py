@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_TASKS = 20_000
 
 
 def build_session(app_name: str = "tidedesk", master: str | None = None, **conf: str) -> SparkSession:
@@ -16,6 +19,8 @@ def build_session(app_name: str = "tidedesk", master: str | None = None, **conf:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -52,3 +57,27 @@ def work_dir(spark: SparkSession, label: str) -> str:
         base = tempfile.mkdtemp(prefix="tidedesk-")
         context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tidedesk/{label}-{uuid.uuid4().hex}"
+
+
+def scan_bytes(table: DataFrame) -> int:
+    """The optimizer's size of a plain scan: its files, as far as its columns need them."""
+    return table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+
+
+def fits_broadcast(table: DataFrame) -> bool:
+    """Whether a plain scan is within the session's broadcast threshold."""
+    limit = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return 0 < scan_bytes(table) <= limit
+
+
+def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> int:
+    """Lets the next shuffles start with enough tasks for ``shuffled_bytes``; returns their number.
+
+    Adaptive execution merges tasks that turn out small but cannot split evenly oversized ones. The
+    number is never lowered below what the session has.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MAX_SHUFFLE_TASKS, -(-shuffled_bytes // SHUFFLE_TASK_BYTES))
+    if wanted > current:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return max(wanted, current)

@@ -75,6 +75,7 @@ def start_ingest(
     window_seconds: int = WINDOW_SECONDS,
     drain: bool = False,
     required: Sequence[str] = REQUIRED_FIELDS,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Starts ingestion with one load per ``window_seconds``, until stopped.
 
@@ -84,10 +85,9 @@ def start_ingest(
     trigger = {"availableNow": True} if drain else {"processingTime": f"{window_seconds} seconds"}
     return (
         ingest_rows(messages, required)
-        .writeStream.queryName("contact-ingest")
-        .foreachBatch(batch_writer(store))
+        .writeStream.foreachBatch(batch_writer(store))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .start()
+        .start(queryName=name)
     )
 

@@ -50,8 +50,7 @@ def start_live(
     """Appends closed windows as Parquet files, each exactly once."""
     trigger = {"availableNow": True} if drain else {"processingTime": f"{seconds} seconds"}
     return (
-        windows.writeStream.queryName("contact-live")
-        .outputMode("append")
+        windows.writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

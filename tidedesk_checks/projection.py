@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidedesk.schema import CONTACT_COLUMNS
+from tidedesk.session import fits_broadcast, scan_bytes, size_shuffles
 from tidedesk.sources.messages import publish_messages
 
 # --- Fixed values: the domain of the driver's tables --------------------------------------------------
@@ -59,14 +60,6 @@ def project_events(events: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def fits_broadcast(table: DataFrame) -> bool:
-    """Whether the optimizer's size of a plain scan is within the session's broadcast threshold."""
-    session = table.sparkSession._jsparkSession
-    limit = session.sessionState().conf().autoBroadcastJoinThreshold()
-    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 < size <= limit
-
-
 def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segment and region name per customer, one row each."""
     places = _table(spark, sf_dir, "nation").join(
@@ -78,7 +71,10 @@ def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Size estimates multiply along joins, so the optimizer would never broadcast this result. It
     # has at most one row per customer; the size of the customer scan decides.
-    return F.broadcast(joined) if fits_broadcast(customers) else joined
+    if fits_broadcast(customers):
+        return F.broadcast(joined)
+    size_shuffles(spark, scan_bytes(_table(spark, sf_dir, "events")) + scan_bytes(customers))
+    return joined
 
 
 def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
