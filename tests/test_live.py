@@ -1,10 +1,13 @@
+import json
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.samples import contact_rows, event
+from tests.samples import contact_rows, event, message_rows
+from tidedesk.operators.validate import valid_rows, validate
 from tidedesk.schema import CONTACT_SCHEMA
+from tidedesk.sources.messages import read_message_files
 from tidedesk.streaming.live import live_kpis, start_live, window_batches
 from tidedesk_checks.projection import contacts
 
@@ -46,6 +49,21 @@ def test_batch_windows_add_up(spark):
     assert rows.count() == 988
 
 
+def test_windows_may_follow_broker_time(spark):
+    rows = spark.range(4).select(F.timestamp_seconds(F.col("id") * 40).alias("timestamp"))
+    assert {r.contactos for r in window_batches(rows, instant="timestamp").collect()} == {2, 1}
+
+
+def test_live_kpis_from_messages(spark, tmp_path):
+    folder, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "cp"))
+    payloads = [json.dumps(at(s)) for s in (10, 20, 400)]
+    message_rows(spark, *payloads, "not json").write.parquet(folder)
+    windows = live_kpis(valid_rows(validate(read_message_files(spark, folder))))
+    start_live(windows, out, checkpoint, drain=True).awaitTermination()
+    rows = spark.read.schema(windows.schema).parquet(out).collect()
+    assert [(r.inicio, r.canal, r.total_contactos, r.sla_pct) for r in rows] == [(START, "voz", 2, 100.0)]
+
+
 def test_stream_emits_closed_windows_only(feed):
     out = feed([at(10), at(70), at(130), at(300)])
     assert starts(out) == [0, 60, 120]  # the watermark stands at 180 s

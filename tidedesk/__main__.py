@@ -1,12 +1,14 @@
-"""Command line, for spark-submit: ingest, load, replay, view and tail."""
+"""Command line, for spark-submit: ingest, live, tail, load, replay, consolidate and view."""
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidedesk.operators.validate import valid_rows, validate
 from tidedesk.plans.replay import replay_store
 from tidedesk.plans.views import VIEWS
 from tidedesk.schema import REQUIRED_FIELDS, TOPIC, WINDOW_SECONDS
@@ -14,7 +16,7 @@ from tidedesk.session import build_session, pin_utc
 from tidedesk.sources import tables
 from tidedesk.sources.messages import read_kafka, read_message_files
 from tidedesk.streaming.ingest import start_ingest
-from tidedesk.streaming.live import start_tail
+from tidedesk.streaming.live import live_kpis, start_live, start_tail
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -24,7 +26,12 @@ def _parser() -> argparse.ArgumentParser:
     def command(name: str, help: str) -> argparse.ArgumentParser:
         return commands.add_parser(name, help=help)
 
-    for name, help in (("ingest", "stream messages into the tables"), ("tail", "print arriving contacts")):
+    streams = {
+        "ingest": "stream messages into the tables",
+        "live": "write KPIs per event-time window and channel",
+        "tail": "print arriving contacts",
+    }
+    for name, help in streams.items():
         stream = command(name, help)
         source = stream.add_mutually_exclusive_group(required=True)
         source.add_argument("--servers", help="Kafka bootstrap servers")
@@ -32,9 +39,9 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--topic", default=TOPIC)
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--drain", action="store_true", help="take what is there and end")
-        if name == "ingest":
+        if name != "tail":
             stream.add_argument("--root", required=True, help="folder of the tables")
-            stream.add_argument("--ventana", type=int, default=WINDOW_SECONDS, help="seconds per load")
+            stream.add_argument("--ventana", type=int, default=WINDOW_SECONDS, help="seconds per load or window")
 
     load = command("load", "load JSON lines into the contacts table")
     load.add_argument("--json", required=True)
@@ -45,6 +52,11 @@ def _parser() -> argparse.ArgumentParser:
     replay.add_argument("--root", required=True)
     replay.add_argument("--optional", nargs="*", default=[], help="fields no longer required")
 
+    consolidate = command("consolidate", "rewrite finished days as one clustered partition each")
+    consolidate.add_argument("--root", required=True)
+    consolidate.add_argument("--start", type=date.fromisoformat, required=True)
+    consolidate.add_argument("--end", type=date.fromisoformat, required=True)
+
     view = command("view", "print a KPI view")
     view.add_argument("--root", required=True)
     view.add_argument("--name", choices=VIEWS, required=True)
@@ -63,13 +75,18 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         start_tail(_messages(spark, args), args.checkpoint, drain=args.drain).awaitTermination()
         return
     store = tables.ContactStore(args.root)
-    if args.command == "ingest":
+    if args.command == "live":
+        windows = live_kpis(valid_rows(validate(_messages(spark, args))), args.ventana)
+        start_live(windows, store.live, args.checkpoint, drain=args.drain, seconds=args.ventana).awaitTermination()
+    elif args.command == "ingest":
         start_ingest(
             _messages(spark, args), store, args.checkpoint, args.ventana, drain=args.drain
         ).awaitTermination()
     elif args.command == "load":
         rows = tables.read_contact_json(spark, args.json)
         tables.write_contacts(rows, store.contacts, mode="append" if args.append else "overwrite")
+    elif args.command == "consolidate":
+        tables.consolidate_days(spark, store, args.start, args.end)
     elif args.command == "replay":
         replay_store(spark, store, [name for name in REQUIRED_FIELDS if name not in args.optional])
     else:

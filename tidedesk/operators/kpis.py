@@ -77,7 +77,8 @@ def kpis_multi(contacts: DataFrame) -> DataFrame:
     )
     # One empty group, so that the global row exists without contacts too.
     nothing = literal_rows(contacts.sparkSession, [(0,)], "n bigint")
-    merged = partial.unionByName(nothing, allowMissingColumns=True).groupingSets([[], ["canal"], ["cola"], ["region"]], *dims).agg(
+    groups = partial.unionByName(nothing, allowMissingColumns=True)
+    merged = groups.groupingSets([[], *([name] for name in dims)], *dims).agg(
         F.grouping_id().alias("g"),
         F.sum("n").alias("total_contactos"),
         *[
@@ -85,14 +86,14 @@ def kpis_multi(contacts: DataFrame) -> DataFrame:
             for name, (_, factor) in MEANS.items()
         ],
     )
-    groups = merged.where((F.col("g") == 0b111) | (F.col("total_contactos") > 0))
+    merged = merged.where((F.col("g") == 0b111) | (F.col("total_contactos") > 0))
     # grouping_id has one bit per column, set when the column is rolled up: canal, cola, region.
     which = {0b011: "canal", 0b101: "cola", 0b110: "region"}
     dim, value = F.lit("global"), F.lit(None).cast("string")
     for g, name in which.items():
         dim = F.when(F.col("g") == g, name).otherwise(dim)
         value = F.when(F.col("g") == g, F.col(name)).otherwise(value)
-    return groups.select(dim.alias("dim"), value.alias("value"), "total_contactos", *KPIS)
+    return merged.select(dim.alias("dim"), value.alias("value"), "total_contactos", *KPIS)
 
 
 def sla_breach(kpis: DataFrame, target: float = SLA_TARGET_PCT) -> DataFrame:

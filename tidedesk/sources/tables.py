@@ -48,6 +48,10 @@ class ContactStore:
     def days(self) -> str:
         return f"{self.root}/contactos_dias"
 
+    @property
+    def live(self) -> str:
+        return f"{self.root}/kpis_en_vivo"
+
     @property
     def load_log(self) -> str:
         return f"{self.root}/cargas"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,16 +15,20 @@ from tidedesk.schema import WINDOW_SECONDS
 LATENESS = "2 minutes"
 
 
-def _windowed(contacts: DataFrame, seconds: int, lateness: str, *dimensions: str):
-    if contacts.isStreaming:
-        contacts = contacts.withColumn("timestamp_evento", F.col("timestamp_evento").cast("timestamp"))
-        contacts = contacts.withWatermark("timestamp_evento", lateness)
-    return contacts.groupBy(F.window("timestamp_evento", f"{seconds} seconds").alias("ventana"), *dimensions)
+def _windowed(rows: DataFrame, instant: str, seconds: int, lateness: str, *dimensions: str) -> GroupedData:
+    if rows.isStreaming:
+        rows = rows.withColumn(instant, F.col(instant).cast("timestamp")).withWatermark(instant, lateness)
+    return rows.groupBy(F.window(instant, f"{seconds} seconds").alias("ventana"), *dimensions)
 
 
-def window_batches(contacts: DataFrame, seconds: int = WINDOW_SECONDS, lateness: str = LATENESS) -> DataFrame:
-    """Contacts per window; empty windows have no row."""
-    counted = _windowed(contacts, seconds, lateness).agg(F.count("*").alias("contactos"))
+def window_batches(
+    rows: DataFrame, seconds: int = WINDOW_SECONDS, lateness: str = LATENESS, instant: str = "timestamp_evento"
+) -> DataFrame:
+    """Rows per window; empty windows have no row.
+
+    Contacts are placed by event time. Messages can be placed by broker time, their ``timestamp``.
+    """
+    counted = _windowed(rows, instant, seconds, lateness).agg(F.count("*").alias("contactos"))
     return counted.select(
         F.col("ventana.start").alias("inicio"), F.col("ventana.end").alias("fin"), "contactos"
     )
@@ -32,7 +36,7 @@ def window_batches(contacts: DataFrame, seconds: int = WINDOW_SECONDS, lateness:
 
 def live_kpis(contacts: DataFrame, seconds: int = WINDOW_SECONDS, lateness: str = LATENESS) -> DataFrame:
     """KPIs per window and channel. A stream emits a window once the watermark has passed its end."""
-    totals = _windowed(contacts, seconds, lateness, "canal").agg(
+    totals = _windowed(contacts, "timestamp_evento", seconds, lateness, "canal").agg(
         F.count("*").alias("total_contactos"), *rounded(*KPIS)
     )
     return totals.select(
