@@ -1,9 +1,13 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.samples import SERVED, abandoned, contact_rows, event
 from tidedesk.operators import kpis
+from tidedesk.operators.filters import DashboardFilter, apply_filters
 from tidedesk.plans import dashboard
+from tidedesk.plans.refresh import refresh_dashboard
 from tidedesk.plans.views import VIEWS, register_views
 from tidedesk_checks.projection import contacts
 
@@ -133,6 +137,26 @@ def test_dashboard_row(spark):
     assert tuple(row) == ("2026-01-01", 10, 0, 1, None, 0)
 
 
+def test_refresh_equals_the_single_tiles(spark, sample, tmp_path):
+    channels = ["click", "error", "purchase", "signup", "view"]
+    rows = dashboard.dashboard_rows(apply_filters(sample, DashboardFilter(date(2024, 1, 5), date(2024, 1, 20))))
+    tiles = refresh_dashboard(rows, channels, str(tmp_path / "cube"))
+    single = {
+        name: getattr(dashboard, name)(rows, *([channels] if name.startswith("heatmap") else [])) for name in tiles
+    }
+    for name, tile in tiles.items():
+        assert tile.columns == single[name].columns
+        assert sorted(map(str, tile.collect())) == sorted(map(str, single[name].collect())), name
+    scans = tiles["tile_channel"]._jdf.queryExecution().executedPlan().toString()
+    assert "events.parquet" not in scans and "cube" in scans
+
+
+def test_refresh_counts_an_incoherent_agent_as_the_tile_does(spark, tmp_path):
+    rows = dashboard.dashboard_rows(contact_rows(spark, event(), abandoned(contact_id="2", agente_id="AG-009")))
+    tile = refresh_dashboard(rows, ["voz"], str(tmp_path / "cube"))["top_agents_fcr"]
+    assert [r.agente_id for r in tile.collect()] == ["AG-007"]
+
+
 def test_sla_threshold_is_inclusive(spark):
     rows = contact_rows(
         spark,

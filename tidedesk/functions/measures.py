@@ -64,3 +64,15 @@ def raw(*names: str) -> list[Column]:
 def rounded(*names: str) -> list[Column]:
     available = measures()
     return [F.round(available[n], DECIMALS[n]).alias(n) for n in names]
+
+
+def partial_sums() -> list[Column]:
+    """What the means of a group can be merged from: rows, and sum and count per measure."""
+    sums = [F.sum(flag(source)).alias(f"{name}_s") for name, (source, _) in MEANS.items()]
+    counts = [F.count(source).alias(f"{name}_n") for name, (source, _) in MEANS.items()]
+    return [F.count("*").alias("n"), *sums, *counts]
+
+
+def merged(name: str) -> Column:
+    """The mean ``name`` over groups of partial sums; it equals the mean over their rows."""
+    return MEANS[name][1] * F.try_divide(F.sum(f"{name}_s"), F.sum(f"{name}_n"))

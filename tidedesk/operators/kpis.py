@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidedesk.functions import measures
-from tidedesk.functions.contact import event_hour, flag, within_sla
-from tidedesk.functions.measures import DECIMALS, MEANS, rounded
+from tidedesk.functions.contact import event_hour, within_sla
+from tidedesk.functions.measures import DECIMALS, rounded
 from tidedesk.schema import SLA_TARGET_PCT, SLA_THRESHOLD_SECONDS, literal_rows
 
 KPIS = ("sla_pct", "abandono_pct", "aht_seg", "fcr_pct", "csat_prom")
@@ -70,21 +70,14 @@ def kpis_multi(contacts: DataFrame) -> DataFrame:
     rows instead of every contact.
     """
     dims = ("canal", "cola", "region")
-    partial = contacts.groupBy(*dims).agg(
-        F.count("*").alias("n"),
-        *[F.sum(flag(source)).alias(f"{name}_s") for name, (source, _) in MEANS.items()],
-        *[F.count(source).alias(f"{name}_n") for name, (source, _) in MEANS.items()],
-    )
+    partial = contacts.groupBy(*dims).agg(*measures.partial_sums())
     # One empty group, so that the global row exists without contacts too.
     nothing = literal_rows(contacts.sparkSession, [(0,)], "n bigint")
     groups = partial.unionByName(nothing, allowMissingColumns=True)
     merged = groups.groupingSets([[], *([name] for name in dims)], *dims).agg(
         F.grouping_id().alias("g"),
         F.sum("n").alias("total_contactos"),
-        *[
-            F.round(factor * F.try_divide(F.sum(f"{name}_s"), F.sum(f"{name}_n")), DECIMALS[name]).alias(name)
-            for name, (_, factor) in MEANS.items()
-        ],
+        *[F.round(measures.merged(name), DECIMALS[name]).alias(name) for name in KPIS],
     )
     merged = merged.where((F.col("g") == 0b111) | (F.col("total_contactos") > 0))
     # grouping_id has one bit per column, set when the column is rolled up: canal, cola, region.

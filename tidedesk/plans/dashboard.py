@@ -58,11 +58,15 @@ def tile_queue(rows: DataFrame) -> DataFrame:
 
 
 def top_agents_fcr(rows: DataFrame, n: int = 10) -> DataFrame:
-    """The best agents by first-contact resolution; ties go to more contacts, then to the id."""
     served = rows.where(F.col("abandono_flag") == 0)
     by_agent = served.groupBy("agente_id").agg(
         *raw("fcr_pct", "aht_seg", "csat_prom"), F.count("*").alias("contactos")
     )
+    return best_agents(by_agent, n)
+
+
+def best_agents(by_agent: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` by first-contact resolution; ties go to more contacts, then to the id."""
     return by_agent.orderBy(F.desc_nulls_last("fcr_pct"), F.desc("contactos"), F.asc("agente_id")).limit(n)
 
 

@@ -262,6 +262,13 @@ ORACLE: dict[str, str] = {
     ),
     "heatmap_sla": _pivot("100 * avg(sla_flag) FILTER (canal = '{c}')"),
     "heatmap_volume": _pivot("nullif(count(*) FILTER (canal = '{c}'), 0)"),
+    "dashboard_refresh": _over_rows(
+        " UNION ALL ".join(
+            f"""SELECT '{dim}' AS dimension, CAST({dim} AS VARCHAR) AS valor, count(*) AS contactos, {_TABLE}
+                FROM rows_ GROUP BY {dim}"""
+            for dim in ("hora_del_dia", "canal", "cola", "agente_id")
+        )
+    ),
     "filter_date_range": _over_rows(f"SELECT * FROM rows_ WHERE {_WEEK}"),
     "filter_channel": _over_rows("SELECT * FROM rows_ WHERE canal IN ('click', 'purchase')"),
     "filter_region": _over_rows("SELECT * FROM rows_ WHERE region IN ('ASIA', 'EUROPE')"),

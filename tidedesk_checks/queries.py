@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from tidedesk.functions.contact import contact_line
 from tidedesk.operators import filters, kpis, quality
 from tidedesk.operators.validate import dlq_rows, valid_rows, validate
 from tidedesk.plans import dashboard
+from tidedesk.plans.dashboard import TABLE_MEASURES
+from tidedesk.plans.refresh import store_cube, table_tile
 from tidedesk.plans.replay import replay_store
 from tidedesk.plans.views import register_views
 from tidedesk.schema import CONTACT_COLUMNS, REQUIRED_FIELDS, literal_rows
@@ -90,6 +93,19 @@ over_dashboard("heatmap_sla", lambda rows: dashboard.heatmap_sla(rows, CHANNELS)
 over_dashboard("heatmap_volume", lambda rows: dashboard.heatmap_volume(rows, CHANNELS))
 
 
+@query("dashboard_refresh")
+def _dashboard_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table tiles of one refresh, in long form."""
+    cube = store_cube(dashboard.dashboard_rows(contacts(spark, sf_dir)), work_dir(spark, "cube"))
+    tiles = [
+        table_tile(cube, name).select(
+            F.lit(name).alias("dimension"), F.col(name).cast("string").alias("valor"), "contactos", *TABLE_MEASURES
+        )
+        for name in ("hora_del_dia", "canal", "cola", "agente_id")
+    ]
+    return reduce(DataFrame.unionByName, tiles)
+
+
 def over_filtered(name: str, controls: filters.DashboardFilter, job: Callable[[DataFrame], DataFrame]) -> None:
     over_contacts(name, lambda rows: job(dashboard.dashboard_rows(filters.apply_filters(rows, controls))))
 
