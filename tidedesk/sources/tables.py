@@ -176,7 +176,7 @@ def _create(spark: SparkSession, name: str, schema: T.StructType, day: str, path
 
 def create_tables(spark: SparkSession, store: ContactStore, database: str = "default") -> tuple[str, str]:
     """Declares both tables over the store unless they exist. Returns their names."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{store.root}/catalogo'")
     contacts, dlq = f"{database}.contactos", f"{database}.contactos_dlq"
     _create(spark, contacts, CONTACT_SCHEMA, DAY, store.contacts, "Ingested customer contacts")
     _create(spark, dlq, DLQ_SCHEMA, DLQ_DAY, store.dlq, "Rejected messages and the reason")
