@@ -28,7 +28,8 @@ def project_events(events: DataFrame, customers: DataFrame) -> DataFrame:
     """Contacts from ``events`` rows and the segment and region of each customer.
 
     Beyond the broadcast limit this is a sort-merge join on the customer, in which adaptive execution
-    splits a customer with very many events over several tasks.
+    splits a customer with very many events over several tasks once its partition exceeds the
+    session's skew threshold.
     """
     e, uid = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("int")
