@@ -12,7 +12,9 @@ from tidedesk.sources.tables import LOAD, ContactStore, read_contacts, read_dlq,
 from tidedesk.streaming.ingest import batch_writer, ingest_rows, start_ingest, write_batch
 from tidedesk.streaming.live import message_lines, start_tail
 
-GOOD = [json.dumps(event(contact_id=f"c{i}", timestamp_evento=f"2026-01-0{1 + i % 3}T23:59:59+00:00")) for i in range(9)]
+GOOD = [
+    json.dumps(event(contact_id=f"c{i}", timestamp_evento=f"2026-01-0{1 + i % 3}T23:59:59+00:00")) for i in range(9)
+]
 BAD = ["not json", "[1]", json.dumps(event(region=None)), json.dumps(event(csat="x")), GOOD[0].encode() + b"\xff"]
 
 

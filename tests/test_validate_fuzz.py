@@ -7,7 +7,8 @@ from tests.samples import SERVED, event, message_rows
 from tidedesk.operators.validate import MISSING_PREFIX, validate
 from tidedesk.schema import REQUIRED_FIELDS
 
-PIECES = list('{}[]",:\\ \n\t') + ["null", "true", "NaN", "0", "1.5", "-", "e", '"x":1', ', "p":{}', "}, {", "], [", "é", "\x00"]
+PIECES = list('{}[]",:\\ \n\t')
+PIECES += ["null", "true", "NaN", "0", "1.5", "-", "e", '"x":1', ', "p":{}', "}, {", "], [", "é", "\x00"]
 SEEDS = [
     json.dumps(SERVED),
     json.dumps(event(extra={"a": [1, {"b": "}"}]}, cola=None)),
