@@ -5,16 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidedesk.llm.common import table
+from tidedesk.llm.decontaminate import overlaps
+from tidedesk.llm.mixing import mix_sources
+from tidedesk.llm.quality import quality_rules
 from tidedesk.llm.sharding import even_tree, shard_documents
 
 SHARDS = 8
+#: Passes over any source in the mixture.
+MAX_REPETITION = 1.5
+
+
+def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), {"doc_id": F.col("doc_id")})
 
 
 def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), even_tree(SHARDS), even_tree(SHARDS, grown=1))
 
 
-LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_hash_tree": op10_hash_tree}
+def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), ["doc_id", "source"], max_repetition=MAX_REPETITION)
+
+
+def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_temperature_mix": op3_temperature_mix,
+    "op5_robust_outliers": op5_robust_outliers,
+    "op9_spaced_seeds": op9_spaced_seeds,
+    "op10_hash_tree": op10_hash_tree,
+}
 LLM_ORACLE: dict[str, str] = {}
