@@ -21,20 +21,20 @@ MIN_WORDS = 50
 SUPPORT = 0.75
 CONCENTRATION_STEPS = 3
 #: Groups with fewer rows that pass the fixed rules get no estimate; their rows stay.
-MIN_GROUP_ROWS = 100
+MIN_GROUP_ROWS = 40
 #: Relative error of the rank in the quantile sketches is 1 / QUANTILE_ACCURACY.
 QUANTILE_ACCURACY = 10_000
 # --- Fixed values: chi-square distribution with 4 degrees of freedom ----------------------------------
 #: P(chi2_6 <= chi2_4(SUPPORT)) / SUPPORT makes the covariance of the nearest rows consistent.
 CHI2_4_SUPPORT = 5.385
 CHI2_6_BELOW = 0.5045
-#: Quantile at 1 - 1e-9: texts have heavier tails than the normal law behind the quantile.
-CUTOFF = 47.8
+#: Quantile at 1 - 1e-6: texts have heavier tails than the normal law behind the quantile.
+CUTOFF = 33.4
 # --- End of fixed values ------------------------------------------------------------------------------
 #: Transformed statistics and the least scale that counts as spread, in their own units.
 FEATURES = {
     "word_length": 0.5,  # log of mean code points per word, times 3
-    "symbols": 0.5,  # log(1 + symbols per 100 code points)
+    "symbols": 0.4,  # log(1 + symbols per 100 code points)
     "dup_lines": 0.1,  # share of lines equal to an earlier one
     "repeats": 0.1,  # share of words in repeated 3-word windows
 }

@@ -12,6 +12,9 @@ from tidedesk.llm.decontaminate import overlaps
 from tidedesk.llm.mixing import mix_sources
 from tidedesk.llm.quality import quality_rules
 from tidedesk.llm.sharding import even_tree, shard_documents
+from tidedesk.llm.simhash import near_duplicates
+from tidedesk.llm.toxicity import toxicity
+from tidedesk.llm.warc import archive_pages
 
 SHARDS = 8
 #: Passes over any source in the mixture.
@@ -26,16 +29,32 @@ def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), even_tree(SHARDS), even_tree(SHARDS, grown=1))
 
 
+def op1_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
+def op2_factorization_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"), ["doc_id", "source"], max_repetition=MAX_REPETITION)
 
 
+def op4_vantage_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"])
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_segments": op1_warc_segments,
+    "op2_factorization_machine": op2_factorization_machine,
     "op3_temperature_mix": op3_temperature_mix,
+    "op4_vantage_points": op4_vantage_points,
     "op5_robust_outliers": op5_robust_outliers,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_hash_tree": op10_hash_tree,
