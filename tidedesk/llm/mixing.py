@@ -16,6 +16,8 @@ from tidedesk.llm.common import stored
 from tidedesk.llm.quality import let, words_of
 
 BLOCK_TOKENS = 20_000
+#: Blocks of a source at least, so that a budget is met within a small part of a small source.
+LEAST_BLOCKS = 64
 BISECTIONS = 50
 #: Block totals are summed up inside hash ranges of a source and then over the ranges, so no task holds a source.
 RANGES = 256
@@ -125,7 +127,7 @@ def mix_sources(
     weights = stored(source_weights(totals, budget_ratio, max_repetition, entropy), "weights")
     # Weights have one row per source; the join's small side is broadcast if its file is below the session's limit.
     cut = rows.join(weights.withColumnRenamed("tokens", "source_tokens"), "src").withColumn(
-        "blocks", F.greatest(F.lit(1), F.ceil(F.col("source_tokens") / block_tokens))
+        "blocks", F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.col("source_tokens") / block_tokens))
     )
     block = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("block"), "src", "key")), 1, 12), 16, 10).cast("long")
     cut = cut.withColumn("block", block % F.col("blocks"))
