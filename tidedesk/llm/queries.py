@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidedesk.llm.common import table
 from tidedesk.llm.decontaminate import overlaps
+from tidedesk.llm.html import main_texts
 from tidedesk.llm.mixing import mix_sources
 from tidedesk.llm.quality import quality_rules
 from tidedesk.llm.sharding import even_tree, shard_documents
@@ -21,6 +22,10 @@ SHARDS = 8
 MAX_REPETITION = 1.5
 
 
+def op7_boosted_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), {"doc_id": F.col("doc_id")})
 
@@ -56,6 +61,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_temperature_mix": op3_temperature_mix,
     "op4_vantage_points": op4_vantage_points,
     "op5_robust_outliers": op5_robust_outliers,
+    "op7_boosted_nodes": op7_boosted_nodes,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_hash_tree": op10_hash_tree,
 }
