@@ -14,6 +14,7 @@ from tidedesk.llm.mixing import mix_sources
 from tidedesk.llm.quality import quality_rules
 from tidedesk.llm.sharding import even_tree, shard_documents
 from tidedesk.llm.simhash import near_duplicates
+from tidedesk.llm.substrings import remove_repeats
 from tidedesk.llm.toxicity import toxicity
 from tidedesk.llm.warc import archive_pages
 
@@ -26,6 +27,10 @@ def op7_boosted_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
 
+def op8_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), with_bytes=False).drop("kept")
+
+
 def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), {"doc_id": F.col("doc_id")})
 
@@ -62,6 +67,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_vantage_points": op4_vantage_points,
     "op5_robust_outliers": op5_robust_outliers,
     "op7_boosted_nodes": op7_boosted_nodes,
+    "op8_linear_grouping": op8_linear_grouping,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_hash_tree": op10_hash_tree,
 }
