@@ -11,6 +11,7 @@ from tidedesk.llm.common import table
 from tidedesk.llm.decontaminate import overlaps
 from tidedesk.llm.html import main_texts
 from tidedesk.llm.mixing import mix_sources
+from tidedesk.llm.perplexity import perplexities
 from tidedesk.llm.quality import quality_rules
 from tidedesk.llm.sharding import even_tree, shard_documents
 from tidedesk.llm.simhash import near_duplicates
@@ -23,6 +24,10 @@ SHARDS = 8
 MAX_REPETITION = 1.5
 
 
+def op6_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_boosted_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(table(spark, sf_dir, "pages"))
 
@@ -66,6 +71,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_temperature_mix": op3_temperature_mix,
     "op4_vantage_points": op4_vantage_points,
     "op5_robust_outliers": op5_robust_outliers,
+    "op6_kneser_ney": op6_kneser_ney,
     "op7_boosted_nodes": op7_boosted_nodes,
     "op8_linear_grouping": op8_linear_grouping,
     "op9_spaced_seeds": op9_spaced_seeds,
