@@ -89,7 +89,7 @@ def source_weights(
         F.col("s.shares").alias("share"),
         "exponent",
         F.col("s.weights").alias("weight"),
-        F.ceil(F.col("s.weights") * F.col("total") * F.lit(budget_ratio)).alias("budget"),
+        F.round(F.col("s.weights") * F.col("total") * F.lit(budget_ratio)).cast("long").alias("budget"),
     )
 
 
