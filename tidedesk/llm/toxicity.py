@@ -29,10 +29,13 @@ TRAINING_ROWS = 16_000
 LEAST_ROWS = 5
 #: Every so many-th of these rows is kept from the fit and sets the scale and the offset of the scores.
 CALIBRATION = 5
-EPOCHS = 10
+EPOCHS = 15
 BATCH_ROWS = 64
-LEARNING_RATE = 0.1
-PENALTY = 1e-4
+LEARNING_RATE = 0.5
+#: Penalties on squared weights and vectors, and the spread of the first vectors.
+WEIGHT_PENALTY = 1e-5
+VECTOR_PENALTY = 3e-4
+SPREAD = 0.01
 TERM = re.compile(rb"[^\x00-/:-@\[-`{-\x7f]+")
 
 
@@ -100,7 +103,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Machin
     model = Machine(
         float(np.log(share / (1 - share))),
         np.zeros(BUCKETS, np.float32),
-        draw.normal(0, 0.05, (BUCKETS, FACTORS)).astype(np.float32),
+        draw.normal(0, SPREAD, (BUCKETS, FACTORS)).astype(np.float32),
     )
     if not 0 < labels.sum() < len(labels):
         model.vectors[:] = 0
@@ -137,8 +140,8 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> Machin
             sort = np.argsort(at, kind="stable")
             first = np.concatenate(([0], np.nonzero(np.diff(at[sort]))[0] + 1))
             which = at[sort][first]
-            gw = np.add.reduceat(step[sort, 0], first) + PENALTY * model.weights[which]
-            gv = np.add.reduceat((step * (s[owner] - v))[sort], first) + PENALTY * model.vectors[which]
+            gw = np.add.reduceat(step[sort, 0], first) + WEIGHT_PENALTY * model.weights[which]
+            gv = np.add.reduceat((step * (s[owner] - v))[sort], first) + VECTOR_PENALTY * model.vectors[which]
             w2[which] += gw * gw
             v2[which] += gv * gv
             model.weights[which] -= LEARNING_RATE * gw / np.sqrt(w2[which])
