@@ -27,8 +27,8 @@ SYMBOLS = 256
 COUNT_BYTES = 8 * 1024 * 1024
 #: Bytes of text that are scored together.
 SCORE_BYTES = 1 << 20
-#: N-grams of the model that are broadcast at a time, 12 bytes each; a larger model goes in several parts.
-PART_GRAMS = 4_000_000
+#: N-grams of the model that are broadcast at a time, 16 bytes each; a larger model goes in several parts.
+PART_GRAMS = 3_000_000
 #: Trusted ids that are broadcast, 8 bytes each; more are joined by shuffling.
 BROADCAST_IDS = 2_000_000
 #: Quantile of the trusted texts' perplexity, in each language, up to which texts are kept.
@@ -174,7 +174,7 @@ def text_scores(texts: DataFrame, model: DataFrame) -> DataFrame:
         # Dealt by hash, a part holds PART_GRAMS n-grams or a little more.
         own = model.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == part) if parts > 1 else model
         held = own.toArrow().sort_by("gram")
-        arrays = held["gram"].to_numpy(), held["logp"].to_numpy().astype(np.float32)
+        arrays = held["gram"].to_numpy(), held["logp"].to_numpy()
         found = texts.mapInArrow(_score(spark.sparkContext.broadcast(arrays)), "row long, logp double, n_bytes long")
         # Equal rows have equal scores, but for the order in which a batch adds them up.
         scores.append(found.groupBy("row").agg(F.max("logp").alias("logp"), F.max("n_bytes").alias("n_bytes")))
