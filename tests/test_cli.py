@@ -23,13 +23,20 @@ def test_load_and_view(spark, run, tmp_path, capfd):
     assert read_contacts(spark, ContactStore(root).contacts).count() == 3
     run("view", "--root", root, "--name", "v_cpo")
     assert "contactos_con_orden" in capfd.readouterr().out
+    run("view", "--root", root, "--name", "v_contactos_dashboard")
+    assert len(capfd.readouterr().out.splitlines()) == 4
+    run("view", "--root", root, "--name", "v_contactos_dashboard", "--rows", "2")
+    assert capfd.readouterr().out.splitlines()[-1] == "... more than 2 rows"
+    run("view", "--root", root, "--name", "v_contactos_dashboard", "--out", str(tmp_path / "csv"))
+    assert spark.read.option("header", "true").csv(str(tmp_path / "csv")).count() == 3
 
 
 def test_ingest_tail_and_replay(spark, run, tmp_path):
     inbox, root = str(tmp_path / "in"), str(tmp_path / "root")
     message_rows(spark, json.dumps(event()), json.dumps(event(cola=None)), "x").write.parquet(inbox)
     run("ingest", "--files", inbox, "--root", root, "--checkpoint", str(tmp_path / "cp"), "--drain", "--ventana", "30")
-    run("tail", "--files", inbox, "--checkpoint", str(tmp_path / "cp2"), "--drain")
+    run("tail", "--files", inbox, "--out", str(tmp_path / "lines"), "--checkpoint", str(tmp_path / "cp2"), "--drain")
+    assert spark.read.text(str(tmp_path / "lines")).count() == 1
     run("live", "--files", inbox, "--root", root, "--checkpoint", str(tmp_path / "cp3"), "--drain")
     run("consolidate", "--root", root, "--start", "2026-01-01", "--end", "2026-01-01")
     store = ContactStore(root)

@@ -163,14 +163,14 @@ def test_session_zone_must_be_utc(spark, inbox, store, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_tail_prints_one_line_per_contact(spark, inbox, tmp_path):
+def test_tail_writes_one_line_per_contact(spark, inbox, tmp_path):
     lines = message_lines(message_rows(spark, json.dumps(event()), *BAD))
     assert [r.linea for r in lines.collect()] == ["voz    | Postventa              | AHT=300s"]
     folder, drop = inbox
     drop(*GOOD)
-    query = start_tail(read_message_files(spark, folder), str(tmp_path / "cp"), drain=True)
+    query = start_tail(read_message_files(spark, folder), str(tmp_path / "lines"), str(tmp_path / "cp"), drain=True)
     query.awaitTermination()
-    assert query.exception() is None
+    assert spark.read.text(str(tmp_path / "lines")).count() == len(GOOD)
 
 
 def test_contacts_can_be_published_and_ingested(spark, tmp_path, store):

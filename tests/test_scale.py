@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tidedesk.operators import kpis
-from tidedesk.session import MAX_SHUFFLE_TASKS, fits_broadcast, size_shuffles, work_dir
+from tidedesk.session import fits_broadcast, shuffle_tasks, work_dir
 from tidedesk_checks import projection
+from tidedesk_checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -39,12 +40,26 @@ def test_customers_are_broadcast_only_within_the_limit(spark, conf):
     assert not fits_broadcast(customers)
 
 
-def test_shuffles_grow_with_the_data(spark, conf):
-    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert size_shuffles(spark, 10**6) == 8
-    conf(initial, "1")
-    assert size_shuffles(spark, 10**12) == 3726 == int(spark.conf.get(initial))
-    assert size_shuffles(spark, 10**15) == MAX_SHUFFLE_TASKS
+def test_shuffles_grow_with_the_data():
+    assert [shuffle_tasks(n) for n in (0, 10**6, 10**12, 10**15)] == [1, 1, 3726, 3725291]
+
+
+def test_queries_leave_the_session_as_it_is(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    before = spark.conf.getAll
+    for key in ("kpis_multi", "cpo", "validate_messages"):
+        QUERIES[key](spark, SF_DIR).collect()
+    assert spark.conf.getAll == before
+
+
+def test_order_ids_of_seven_digits_stay_apart(spark):
+    events = projection._table(spark, SF_DIR, "events").withColumn("event_id", F.col("event_id") + 2_000_000)
+    rows = projection.project_events(events, projection.customer_places(spark, SF_DIR))
+    got = kpis.cpo(rows).collect()[0]
+    with_order = rows.where(F.col("orden_asociada").isNotNull()).select(F.col("contact_id").cast("long").alias("e"))
+    numbers = with_order.agg(F.count("*"), F.count_distinct(F.col("e") - F.col("e") % 3)).collect()[0]
+    assert (got.contactos_con_orden, got.ordenes_distintas) == tuple(numbers)
+    assert got.ordenes_distintas > 1000
 
 
 class _Session:
@@ -101,7 +116,7 @@ def test_one_scan_kpis_expand_aggregated_rows_only(spark):
     assert plan.index("Expand") < plan.index("ShuffleQueryStage", plan.index("Expand"))
 
 
-@pytest.mark.parametrize("key", ["demand_curve", "quality_audit", "scorecards", "sla_breach"])
+@pytest.mark.parametrize("key", ["demand_curve", "quality_audit", "sla_breach"])
 def test_events_are_scanned_once(spark, key):
     assert final_plan(contract.queries()[key](spark, SF_DIR)).count("events.parquet") == 1
 
@@ -119,6 +134,6 @@ def test_kpis_read_only_their_columns(spark):
 
 
 def test_no_python_or_single_task_collection_in_any_plan(spark):
-    for key, run in contract.queries().items():
+    for key, run in QUERIES.items():
         plan = run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "PythonUDF" not in plan and "collect_list" not in plan and "collect_set" not in plan, key

@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     streams = {
         "ingest": "stream messages into the tables",
         "live": "write KPIs per event-time window and channel",
-        "tail": "print arriving contacts",
+        "tail": "write a line for every arriving contact",
     }
     for name, help in streams.items():
         stream = command(name, help)
@@ -39,7 +39,9 @@ def _parser() -> argparse.ArgumentParser:
         stream.add_argument("--topic", default=TOPIC)
         stream.add_argument("--checkpoint", required=True)
         stream.add_argument("--drain", action="store_true", help="take what is there and end")
-        if name != "tail":
+        if name == "tail":
+            stream.add_argument("--out", required=True, help="folder of the text files")
+        else:
             stream.add_argument("--root", required=True, help="folder of the tables")
             stream.add_argument("--ventana", type=int, default=WINDOW_SECONDS, help="seconds per load or window")
 
@@ -60,7 +62,8 @@ def _parser() -> argparse.ArgumentParser:
     view = command("view", "print a KPI view")
     view.add_argument("--root", required=True)
     view.add_argument("--name", choices=VIEWS, required=True)
-    view.add_argument("--rows", type=int, default=100)
+    view.add_argument("--rows", type=int, help="print so many rows at most and say that there are more")
+    view.add_argument("--out", help="write the whole view there as CSV instead")
     return parser
 
 
@@ -68,11 +71,21 @@ def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return read_kafka(spark, args.servers, args.topic) if args.servers else read_message_files(spark, args.files)
 
 
+def _print(rows: DataFrame, limit: int | None) -> None:
+    """All rows as tab-separated lines, one partition at a time in the driver; or the first ``limit``."""
+    print("\t".join(rows.columns))
+    for n, row in enumerate((rows if limit is None else rows.limit(limit + 1)).toLocalIterator()):
+        if n == limit:
+            print(f"... more than {limit} rows")
+            break
+        print("\t".join("" if value is None else str(value) for value in row))
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = pin_utc(spark or build_session())
     if args.command == "tail":
-        start_tail(_messages(spark, args), args.checkpoint, drain=args.drain).awaitTermination()
+        start_tail(_messages(spark, args), args.out, args.checkpoint, drain=args.drain).awaitTermination()
         return
     store = tables.ContactStore(args.root)
     if args.command == "live":
@@ -90,7 +103,11 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif args.command == "replay":
         replay_store(spark, store, [name for name in REQUIRED_FIELDS if name not in args.optional])
     else:
-        VIEWS[args.name](tables.read_contacts(spark, store.contacts)).show(args.rows, truncate=False)
+        rows = VIEWS[args.name](tables.read_contacts(spark, store.contacts))
+        if args.out:
+            rows.write.mode("error").option("header", "true").csv(args.out)
+        else:
+            _print(rows, args.rows)
 
 
 if __name__ == "__main__":

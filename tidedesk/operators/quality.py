@@ -11,7 +11,7 @@ from tidedesk.schema import MIN_HANDLE_SECONDS, REQUIRED_FIELDS, SERVICE_FIELDS,
 
 # --- Fixed values: identifier formats -----------------------------------------------------------------
 AGENT_FORMAT = r"^AG-\d{3}$"
-ORDER_FORMAT = r"^ORD-\d{6}$"
+ORDER_FORMAT = r"^ORD-\d{6,}$"
 # --- End of fixed values ------------------------------------------------------------------------------
 
 

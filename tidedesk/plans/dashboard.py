@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +30,13 @@ def dashboard_rows(contacts: DataFrame) -> DataFrame:
 
 
 def scorecards(rows: DataFrame) -> DataFrame:
-    """The six headline figures, one row."""
-    figures = rows.agg(*raw(*TABLE_MEASURES), cpo(F.sum("con_orden_flag")).alias("cpo"))
+    """The six headline figures, one row.
+
+    Contacts per order is an aggregate of its own: with the means in one, every order would carry
+    six sums through the shuffle.
+    """
+    order_ratio = rows.select("con_orden_flag", "orden_asociada").agg(cpo(F.sum("con_orden_flag")).alias("cpo")).scalar()
+    figures = rows.agg(*raw(*TABLE_MEASURES)).withColumn("cpo", order_ratio)
     return figures.select(*[F.round(name, places).alias(name) for name, places in SCORECARD_DECIMALS.items()])
 
 
@@ -70,14 +73,15 @@ def best_agents(by_agent: DataFrame, n: int) -> DataFrame:
     return by_agent.orderBy(F.desc_nulls_last("fcr_pct"), F.desc("contactos"), F.asc("agente_id")).limit(n)
 
 
-def _heatmap(rows: DataFrame, channels: Sequence[str], metric: Column) -> DataFrame:
-    return rows.groupBy("hora_del_dia").pivot("canal", list(channels)).agg(metric).orderBy("hora_del_dia")
+def _heatmap(rows: DataFrame, metric: Column) -> DataFrame:
+    """A column for every channel that occurs; contacts without one are in the column ``null``."""
+    return rows.groupBy("hora_del_dia").pivot("canal").agg(metric).orderBy("hora_del_dia")
 
 
-def heatmap_sla(rows: DataFrame, channels: Sequence[str]) -> DataFrame:
-    """Hour by channel; naming the channels saves a scan and fixes the schema."""
-    return _heatmap(rows, channels, raw("sla_pct")[0])
+def heatmap_sla(rows: DataFrame) -> DataFrame:
+    """Hour by channel."""
+    return _heatmap(rows, raw("sla_pct")[0])
 
 
-def heatmap_volume(rows: DataFrame, channels: Sequence[str]) -> DataFrame:
-    return _heatmap(rows, channels, F.count(F.lit(1)))
+def heatmap_volume(rows: DataFrame) -> DataFrame:
+    return _heatmap(rows, F.count(F.lit(1)))

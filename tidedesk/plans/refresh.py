@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +31,7 @@ def table_tile(cube: DataFrame, dimension: str) -> DataFrame:
     )
 
 
-def refresh_dashboard(rows: DataFrame, channels: Sequence[str], path: str) -> dict[str, DataFrame]:
+def refresh_dashboard(rows: DataFrame, path: str) -> dict[str, DataFrame]:
     """Every tile over the same filtered rows; each equals the tile computed on its own.
 
     Distinct orders cannot be merged from sums, so contacts per order reads its own column once more.
@@ -43,7 +41,7 @@ def refresh_dashboard(rows: DataFrame, channels: Sequence[str], path: str) -> di
     figures = cube.agg(*[merged(name).alias(name) for name in TABLE_MEASURES]).withColumn("cpo", order_ratio)
     by_hour = table_tile(cube, "hora_del_dia")
     by_agent = table_tile(cube.where(F.col("abandono_flag") == 0), "agente_id")
-    heatmap = cube.groupBy("hora_del_dia").pivot("canal", list(channels))
+    heatmap = cube.groupBy("hora_del_dia").pivot("canal")
     return {
         "scorecards": figures.select(*[F.round(n, places).alias(n) for n, places in SCORECARD_DECIMALS.items()]),
         "sla_by_hour": by_hour.select("hora_del_dia", "sla_pct").orderBy("hora_del_dia"),

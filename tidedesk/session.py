@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 SHUFFLE_TASK_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_TASKS = 20_000
 
 
 def build_session(app_name: str = "tidedesk", master: str | None = None, **conf: str) -> SparkSession:
@@ -70,14 +69,11 @@ def fits_broadcast(table: DataFrame) -> bool:
     return 0 < scan_bytes(table) <= limit
 
 
-def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> int:
-    """Lets the next shuffles start with enough tasks for ``shuffled_bytes``; returns their number.
+def shuffle_tasks(shuffled_bytes: int) -> int:
+    """How many tasks a shuffle of ``shuffled_bytes`` should start with.
 
-    Adaptive execution merges tasks that turn out small but cannot split evenly oversized ones. The
-    number is never lowered below what the session has.
+    A job's session gets it as ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``: adaptive
+    execution merges tasks that turn out small but cannot split evenly oversized ones. Nothing here
+    changes a session's settings.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(MAX_SHUFFLE_TASKS, -(-shuffled_bytes // SHUFFLE_TASK_BYTES))
-    if wanted > current:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
-    return max(wanted, current)
+    return max(1, -(-shuffled_bytes // SHUFFLE_TASK_BYTES))

@@ -9,7 +9,7 @@ from tidedesk_checks.queries import CHANNEL_PLAN
 _CONTACTS = """
 base AS (
   SELECT event_id AS e, ts, user_id AS u, event_type, value, c_mktsegment, r_name,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) * 90 < 100 * least(value, 81.0) AS ab
+         CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 = 0 AS ab
   FROM events
   JOIN customer ON c_custkey = user_id
   JOIN nation ON n_nationkey = c_nationkey
@@ -25,11 +25,11 @@ contacts AS (
          ab AS abandonado,
          NOT ab AND value <= 20 AS dentro_sla,
          CASE WHEN NOT ab THEN 'AG-' || lpad(CAST(u % 40 + 1 AS VARCHAR), 3, '0') END AS agente_id,
-         CASE WHEN NOT ab THEN 30 + (e * 37) % 571 END AS tiempo_atencion_seg,
-         CASE WHEN NOT ab THEN (e * 7) % 100 < 78 END AS resuelto_primer_contacto,
-         CASE WHEN NOT ab AND (e * 13) % 10 < 6 THEN 1 + (e * 3) % 5 END AS csat,
-         CASE WHEN NOT ab AND (e * 11) % 100 < 55
-              THEN 'ORD-' || lpad(CAST(e - e % 3 AS VARCHAR), 6, '0') END AS orden_asociada
+         CASE WHEN NOT ab THEN 45 + (e * 37) % 500 END AS tiempo_atencion_seg,
+         CASE WHEN NOT ab THEN (e * 7) % 4 < 3 END AS resuelto_primer_contacto,
+         CASE WHEN NOT ab AND e % 2 = 0 THEN 1 + (e * 3) % 5 END AS csat,
+         CASE WHEN NOT ab AND (e * 11) % 5 < 3
+              THEN 'ORD-' || lpad(CAST(e - e % 3 AS VARCHAR), CAST(greatest(6, length(CAST(e - e % 3 AS VARCHAR))) AS INTEGER), '0') END AS orden_asociada
   FROM base
 )"""
 
@@ -202,7 +202,7 @@ _AUDIT = {
     "aht_bajo_minimo": "tiempo_atencion_seg < 30",
     "csat_fuera_de_rango": "csat NOT BETWEEN 1 AND 5",
     "agente_mal_formado": "NOT regexp_full_match(agente_id, 'AG-[0-9]{3}')",
-    "orden_mal_formada": "NOT regexp_full_match(orden_asociada, 'ORD-[0-9]{6}')",
+    "orden_mal_formada": "NOT regexp_full_match(orden_asociada, 'ORD-[0-9]{6,}')",
 }
 
 

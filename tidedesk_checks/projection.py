@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidedesk.schema import CONTACT_COLUMNS
-from tidedesk.session import fits_broadcast, scan_bytes, size_shuffles
+from tidedesk.session import fits_broadcast
 from tidedesk.sources.messages import publish_messages
 
 # --- Fixed values: the domain of the driver's tables --------------------------------------------------
@@ -33,7 +33,8 @@ def project_events(events: DataFrame, customers: DataFrame) -> DataFrame:
     """
     e, uid = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("int")
-    abandoned = k * 90 < 100 * F.least("value", F.lit(81.0))
+    order_id = (e - e % 3).cast("string")
+    abandoned = k % 5 == 0
 
     def served(column, condition=None):
         return F.when(~F.col("abandonado") if condition is None else ~F.col("abandonado") & condition, column)
@@ -51,11 +52,13 @@ def project_events(events: DataFrame, customers: DataFrame) -> DataFrame:
             "abandonado",
             (~F.col("abandonado") & (F.col("value") <= 20)).alias("dentro_sla"),
             served(F.concat(F.lit("AG-"), F.lpad((uid % 40 + 1).cast("string"), 3, "0"))).alias("agente_id"),
-            served(30 + (e * 37) % 571).alias("tiempo_atencion_seg"),
-            served((e * 7) % 100 < 78).alias("resuelto_primer_contacto"),
-            served(1 + (e * 3) % 5, (e * 13) % 10 < 6).alias("csat"),
+            served(45 + (e * 37) % 500).alias("tiempo_atencion_seg"),
+            served((e * 7) % 4 < 3).alias("resuelto_primer_contacto"),
+            served(1 + (e * 3) % 5, e % 2 == 0).alias("csat"),
             served(
-                F.concat(F.lit("ORD-"), F.lpad((e - e % 3).cast("string"), 6, "0")), (e * 11) % 100 < 55
+                # Padding cuts what is longer than its length, so the length is the id's own beyond six digits.
+                F.concat(F.lit("ORD-"), F.lpad(order_id, F.greatest(F.lit(6), F.length(order_id)), F.lit("0"))),
+                (e * 11) % 5 < 3,
             ).alias("orden_asociada"),
         )
     )
@@ -74,7 +77,6 @@ def customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     # has at most one row per customer; the size of the customer scan decides.
     if fits_broadcast(customers):
         return F.broadcast(joined)
-    size_shuffles(spark, scan_bytes(_table(spark, sf_dir, "events")) + scan_bytes(customers))
     return joined
 
 

@@ -23,7 +23,7 @@ from tidedesk.sources import messages, tables
 from tidedesk.sources.tables import ContactStore
 from tidedesk.streaming.ingest import start_ingest
 from tidedesk.streaming.live import live_kpis, start_live, window_batches
-from tidedesk_checks.projection import CHANNELS, contact_stream, contacts, payloads
+from tidedesk_checks.projection import contact_stream, contacts, payloads
 
 # --- Fixed values: parameters shared with the SQL in oracle.py ----------------------------------------
 AS_OF = date(2024, 1, 24)
@@ -89,8 +89,8 @@ over_dashboard("volume_by_hour", dashboard.volume_by_hour)
 over_dashboard("tile_channel", dashboard.tile_channel)
 over_dashboard("tile_queue", dashboard.tile_queue)
 over_dashboard("top_agents_fcr", dashboard.top_agents_fcr)
-over_dashboard("heatmap_sla", lambda rows: dashboard.heatmap_sla(rows, CHANNELS))
-over_dashboard("heatmap_volume", lambda rows: dashboard.heatmap_volume(rows, CHANNELS))
+over_dashboard("heatmap_sla", dashboard.heatmap_sla)
+over_dashboard("heatmap_volume", dashboard.heatmap_volume)
 
 
 @query("dashboard_refresh")
