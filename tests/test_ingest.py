@@ -132,13 +132,28 @@ def test_hot_day_is_split_and_counted(spark, store, tmp_path):
         assert write_batch(ingest_rows(hot), store, "b") == {"contactos": 2000, "contactos_dlq": 5}
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list(tmp_path.glob("store/contactos/lote=b/fecha=2026-01-01/*.parquet"))) > 1
+    assert len(list(tmp_path.glob("store/contactos/fecha=2026-01-01/lote=b/*.parquet"))) > 1
     assert read_contacts(spark, store.contacts).select("contact_id").distinct().count() == 2000
 
 
 def test_empty_micro_batch_writes_nothing(spark, store, tmp_path):
     assert write_batch(ingest_rows(message_rows(spark, "x").limit(0)), store, "b") == {}
-    assert not (tmp_path / "store").exists()
+    assert not list((tmp_path / "store").rglob("*.parquet")) and not (tmp_path / "store" / "cargas").exists()
+
+
+def test_retry_with_other_days_leaves_none_of_the_first(spark, store):
+    write_batch(ingest_rows(message_rows(spark, *GOOD)), store, "b")
+    write_batch(ingest_rows(message_rows(spark, GOOD[0])), store, "b")
+    assert ids(read_contacts(spark, store.contacts)) == ["c0"]
+
+
+def test_a_batch_costs_two_writes(spark, store):
+    rows = ingest_rows(message_rows(spark, *GOOD, *BAD))
+    spark.sparkContext.setJobGroup("batch", "one micro-batch")
+    write_batch(rows, store, "b")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("batch")
+    spark.sparkContext.setJobGroup(None, None)
+    assert len(jobs) <= 5  # the parse, and for each write the rebalancing stage and the write itself
 
 
 def test_batch_without_valid_rows(spark, store):

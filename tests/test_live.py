@@ -8,7 +8,7 @@ from tests.samples import contact_rows, event, message_rows
 from tidedesk.operators.validate import valid_rows, validate
 from tidedesk.schema import CONTACT_SCHEMA
 from tidedesk.sources.messages import read_message_files
-from tidedesk.streaming.live import live_kpis, start_live, window_batches
+from tidedesk.streaming.live import live_kpis, read_live, start_live, window_batches
 from tidedesk_checks.projection import contacts
 
 START = datetime(2026, 1, 1, 10)
@@ -27,7 +27,7 @@ def feed(spark, tmp_path):
         contact_rows(spark, *events).coalesce(1).write.mode("append").parquet(folder)
         stream = build(spark.readStream.schema(CONTACT_SCHEMA).parquet(folder), **options)
         start_live(stream, out, checkpoint, drain=True).awaitTermination()
-        return spark.read.schema(stream.schema).parquet(out)
+        return read_live(spark, out, stream.schema)
 
     return run
 
@@ -60,19 +60,29 @@ def test_live_kpis_from_messages(spark, tmp_path):
     message_rows(spark, *payloads, "not json").write.parquet(folder)
     windows = live_kpis(valid_rows(validate(read_message_files(spark, folder))))
     start_live(windows, out, checkpoint, drain=True).awaitTermination()
-    rows = spark.read.schema(windows.schema).parquet(out).collect()
-    assert [(r.inicio, r.canal, r.total_contactos, r.sla_pct) for r in rows] == [(START, "voz", 2, 100.0)]
+    rows = read_live(spark, out, windows.schema).collect()
+    assert sorted((r.inicio, r.canal, r.total_contactos, r.sla_pct) for r in rows) == [
+        (START, "voz", 2, 100.0),
+        (START + timedelta(seconds=360), "voz", 1, 100.0),
+    ]
 
 
-def test_stream_emits_closed_windows_only(feed):
+def test_bounded_run_emits_all_windows(feed, tmp_path):
     out = feed([at(10), at(70), at(130), at(300)])
-    assert starts(out) == [0, 60, 120]  # the watermark stands at 180 s
+    assert starts(out) == [0, 60, 120, 300]
+    assert len(list(tmp_path.glob("out/fecha=2026-01-01/lote=*/*.parquet"))) == 1
 
 
-def test_closed_windows_equal_the_batch_result(spark, feed):
+def test_open_window_is_updated(feed):
+    feed([at(10)])
+    out = feed([at(11), at(12)])
+    assert [(r.total_contactos, r.canal) for r in out.collect()] == [(3, "voz")]
+
+
+def test_windows_equal_the_batch_result(spark, feed):
     events = [at(s, canal="chat" if s % 2 else "voz", csat=1 + s % 5) for s in range(0, 600, 7)]
     streamed = feed(events)
-    batch = live_kpis(contact_rows(spark, *events)).where(F.col("fin") <= F.lit(START + timedelta(seconds=595 - 120)))
+    batch = live_kpis(contact_rows(spark, *events))
     assert sorted(map(str, streamed.collect())) == sorted(map(str, batch.collect()))
 
 

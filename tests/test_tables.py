@@ -16,14 +16,14 @@ from tidedesk.sources.tables import (
     create_tables,
     read_contact_json,
     read_contacts,
-    read_days,
-    refresh_tables,
+    register_load,
     write_contacts,
 )
 from tidedesk.streaming.ingest import ingest_rows, write_batch
 from tidedesk_checks.projection import contacts, payloads
 
 SF_DIR = "/root/testdata/sf0.001"
+HOT_DAY = "timestamp_ntz'2024-01-05 10:00:00' + make_dt_interval(0, 0, 0, contact_id % 60)"
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +46,31 @@ def test_overwrite_refreshes_and_append_adds(spark, rows, tmp_path):
         write_contacts(rows, path, mode="ignore")
 
 
+def test_failed_refresh_leaves_the_old_rows(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    write_contacts(rows, path)
+    broken = rows.withColumn("canal", F.when(F.col("contact_id") == "7", F.raise_error(F.lit("lost"))).otherwise(F.col("canal")))
+    with pytest.raises(Exception, match="lost"):
+        write_contacts(broken, path, mode="overwrite")
+    assert read_contacts(spark, path).count() == 1000
+
+
+def test_a_dated_read_lists_its_days_only(spark, rows, tmp_path):
+    path, few = str(tmp_path / "t"), rows.limit(40).coalesce(1)
+    for _ in range(3):
+        write_contacts(few, path)
+    for n in range(300):  # as many further loads of other days
+        folder = tmp_path / "t" / f"fecha=2023-01-{1 + n % 28:02d}" / f"lote=carga-{n}"
+        folder.mkdir(parents=True)
+    day = rows.limit(40).select(F.to_date("timestamp_evento")).first()[0]
+    read = read_contacts(spark, path, day, day)
+    files = read.inputFiles()
+    assert len(files) == 3 and all(f"fecha={day}" in f for f in files)
+    assert "InMemoryFileIndex(1 paths)" in plan(read)
+    assert read.count() == read_contacts(spark, path).where(F.col("fecha") == F.lit(day)).count() > 0
+    assert read_contacts(spark, path, date(1999, 1, 1), date(1999, 1, 2)).count() == 0
+
+
 def test_refresh_also_replaces_streamed_loads(spark, rows, tmp_path):
     store = ContactStore(str(tmp_path))
     write_batch(ingest_rows(message_rows(spark, json.dumps(SERVED))), store, "b-0")
@@ -83,8 +108,8 @@ def test_a_kpi_reads_only_its_columns(spark, rows, tmp_path):
 def test_files_are_clustered_and_bounded(spark, rows, tmp_path):
     path = tmp_path / "t"
     write_contacts(rows, str(path), max_records_per_file=20)
-    files = list(path.glob("lote=*/fecha=*/*.parquet"))
-    assert len({f.parent.name for f in files}) == 30
+    files = list(path.glob("fecha=*/lote=*/*.parquet"))
+    assert len({f.parent.parent.name for f in files}) == 30
     for file in files:
         table = pq.read_table(file, columns=["canal", "cola"], partitioning=None)
         keys = list(zip(*[table[c].to_pylist() for c in ("canal", "cola")]))
@@ -93,13 +118,13 @@ def test_files_are_clustered_and_bounded(spark, rows, tmp_path):
 
 def test_a_hot_day_is_split_over_several_tasks(spark, rows, tmp_path):
     path = tmp_path / "t"
-    hot = rows.withColumn("timestamp_evento", F.lit("2024-01-05 10:00:00").cast("timestamp")).repartition(16)
+    hot = rows.withColumn("timestamp_evento", F.expr(HOT_DAY)).repartition(16)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8k")
     try:
         write_contacts(hot, str(path))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    assert len(list(path.glob("lote=*/fecha=2024-01-05/*.parquet"))) > 3
+    assert len(list(path.glob("fecha=2024-01-05/lote=*/*.parquet"))) > 1
     assert read_contacts(spark, str(path)).count() == 1000
 
 
@@ -111,7 +136,7 @@ def test_without_adaptive_execution_no_day_is_gathered(spark, rows, tmp_path):
         write_contacts(hot, str(path))
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
-    assert len(list(path.glob("lote=*/fecha=2024-01-05/*.parquet"))) == 6
+    assert len(list(path.glob("fecha=2024-01-05/lote=*/*.parquet"))) == 6
     assert read_contacts(spark, str(path)).count() == 1000
 
 
@@ -124,10 +149,12 @@ def test_days_are_consolidated_and_replaced(spark, rows, tmp_path):
     per_day = dict(rows.groupBy(F.to_date("timestamp_evento")).count().collect())
     expected = {date(2024, 1, d): per_day[date(2024, 1, d)] for d in (3, 4, 5, 6)}
     expected[date(2024, 1, 5)] *= 2
-    stored = read_days(spark, store)
-    assert dict(stored.groupBy("fecha").count().collect()) == expected
-    assert stored.columns == read_contacts(spark, store.contacts).columns
-    assert len(list(tmp_path.glob("contactos_dias/fecha=*"))) == 4
+    stored = read_contacts(spark, store.contacts)
+    got = dict(stored.groupBy("fecha").count().collect())
+    assert got == {**per_day, **expected}
+    for d in (3, 4, 5, 6):
+        assert len(list(tmp_path.glob(f"contactos/fecha=2024-01-0{d}/lote=*"))) == 1
+    assert not list(tmp_path.glob("contactos/_dia*"))
 
 
 def test_json_lines_load(spark, tmp_path):
@@ -145,8 +172,9 @@ def test_create_tables_twice(spark, tmp_path):
     names = create_tables(spark, store, "twice")
     write_batch(ingest_rows(payloads(contacts(spark, SF_DIR))), store, "b-0")
     assert create_tables(spark, store, "twice") == names
-    refresh_tables(spark, "twice")
-    assert [spark.table(n).count() for n in names] == [860, 140]
+    assert [spark.table(n).count() for n in names] == [0, 0]
+    register_load(spark, store, "b-0", "twice")
+    assert [spark.table(n).count() for n in names] == [800, 200]
     fields = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {names[0]}").collect()}
     assert fields["csat"] == "1-5; NULL if abandoned or not answered"
 

@@ -37,6 +37,19 @@ CASES = [
     (json.dumps(event(csat="5")), "BAD_TYPE"),
     (json.dumps(event(csat={"x": 1})), "BAD_TYPE"),
     (json.dumps(event(timestamp_evento="yesterday")), "BAD_TYPE"),
+    (json.dumps(event(canal={"a": 1})), "BAD_TYPE"),
+    (json.dumps(event(canal=True)), "BAD_TYPE"),
+    (json.dumps(event(cola=5)), "BAD_TYPE"),
+    (json.dumps(event(contact_id=[1, 2])), "BAD_TYPE"),
+    (json.dumps(event(agente_id=1.5)), "BAD_TYPE"),
+    (GOOD.replace('"voz"', '{"a":1,"a":2}'), "BAD_TYPE"),
+    (json.dumps(event(timestamp_evento="2026")), "BAD_TYPE"),
+    (json.dumps(event(timestamp_evento=1767261600)), "BAD_TYPE"),
+    (json.dumps(event(timestamp_evento="2026-01-01T10:00:00")), "BAD_TYPE"),
+    (json.dumps(event(timestamp_evento="2026-01-01")), "BAD_TYPE"),
+    (json.dumps(event(timestamp_evento="2026-13-01T10:00:00Z")), "BAD_TYPE"),
+    (json.dumps(event(timestamp_evento="2026-01-01T10:00:00Z")), None),
+    (json.dumps(event(timestamp_evento="2026-01-01 10:00:00.5-03:00")), None),
     # JSON of another kind
     ("[1,2]", "NOT_OBJECT"),
     (f"[{GOOD}]", "NOT_OBJECT"),
@@ -103,6 +116,11 @@ def test_kind_is_that_of_the_json_module(text, expected):
     assert python_kind(text) == kind
 
 
+def test_instants_without_a_fraction_or_with_an_offset(outcomes):
+    text = json.dumps(event(timestamp_evento="2026-01-01 10:00:00.5-03:00"))
+    assert outcomes[text].evento.timestamp_evento.isoformat() == "2026-01-01T13:00:00.500000"
+
+
 def test_last_duplicate_wins(outcomes):
     assert outcomes[GOOD[:-1] + ', "canal": "chat"}'].evento.canal == "chat"
 
@@ -116,7 +134,15 @@ def test_bytes_that_are_not_utf8(spark):
 
 def test_null_message_is_rejected_not_lost(spark):
     rows = validate(spark.createDataFrame([(None, None)], "value binary, headers string")).collect()
-    assert [r.error for r in rows] == ["INVALID_UTF8"]
+    assert [(r.error, r.raw_payload) for r in rows] == [("EMPTY", None)]
+    again = replay_dlq(dlq_rows(validate(spark.createDataFrame([(None, None)], "value binary, headers string"))))
+    assert [r.error for r in again.collect()] == ["EMPTY"]
+
+
+def test_counting_reasons_builds_no_payload_or_event(spark):
+    reasons = dlq_rows(validate(message_rows(spark, GOOD))).groupBy("error").count()
+    plan = reasons._jdf.queryExecution().optimizedPlan().toString()
+    assert "make_valid_utf8" not in plan and "named_struct(contact_id" not in plan
 
 
 def test_split_loses_nothing(spark):

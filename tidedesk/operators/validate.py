@@ -7,11 +7,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidedesk.functions import strict_json
 from tidedesk.schema import CONTACT_SCHEMA, REQUIRED_FIELDS
 
 # --- Fixed values: reason texts ---------------------------------------------------------------------
+EMPTY = "EMPTY"
 INVALID_UTF8 = "INVALID_UTF8"
 INVALID_JSON = "INVALID_JSON"
 NOT_OBJECT = "NOT_OBJECT"
@@ -20,10 +22,46 @@ MISSING_PREFIX = "Faltan campos obligatorios: "
 # --- End of fixed values ------------------------------------------------------------------------------
 MISSING_FIELDS = "MISSING_FIELDS"
 
-_EVENT_DDL = "struct<" + ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in CONTACT_SCHEMA) + ">"
+#: Read as variants, which keep what kind of JSON value it was; a text column takes JSON text only.
+_AS_TEXT = [f.name for f in CONTACT_SCHEMA if isinstance(f.dataType, (T.StringType, T.TimestampType))]
+_EVENT_DDL = (
+    "struct<"
+    + ", ".join(
+        f"{f.name}: {'variant' if f.name in _AS_TEXT else f.dataType.simpleString()}" for f in CONTACT_SCHEMA
+    )
+    + ">"
+)
+#: Date, time to the second and offset; the fraction is optional.
+_INSTANT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 _PROBE_DDL = f"struct<{CONTACT_SCHEMA[0].name}: string>"
 
 
+def _text(event: Column, name: str) -> Column:
+    return F.try_variant_get(event[name], "$", "string")
+
+
+def _member(event: Column, field: T.StructField) -> Column:
+    """One field of the parsed event in its declared type; NULL where it cannot be."""
+    if field.name not in _AS_TEXT:
+        return event[field.name]
+    text = _text(event, field.name)
+    return text.try_cast("timestamp") if isinstance(field.dataType, T.TimestampType) else text
+
+
+def _texts_fit(event: Column) -> Column:
+    """Whether all text columns hold JSON text or nothing, and instants are whole ones."""
+    fits = F.lit(True)
+    for field in CONTACT_SCHEMA:
+        if field.name in _AS_TEXT:
+            kind = F.schema_of_variant(event[field.name])
+            fits = fits & F.coalesce(kind.isin("STRING", "VOID"), F.lit(True))
+        if isinstance(field.dataType, T.TimestampType):
+            text = _text(event, field.name)
+            whole = text.rlike(_INSTANT) & text.try_cast("timestamp").isNotNull()
+            fits = fits & F.coalesce(whole, text.isNull())
+    return fits
+
+
 def _complete(event: Column, required: Sequence[str]) -> Column:
     """Cheaper than the list, so valid messages never build it."""
     return reduce(Column.__and__, [event[name].isNotNull() for name in required], F.lit(True))
@@ -40,9 +78,9 @@ def _missing_text(names: Column) -> Column:
 def validate(
     messages: DataFrame, value: str = "value", required: Sequence[str] = REQUIRED_FIELDS, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per message: ``keep`` columns, ``raw_payload``, ``faltantes``, ``error``, ``evento``.
+    """One row per message: ``keep`` columns, ``raw_payload``, ``evento``, ``faltantes``, ``error``.
 
-    ``error`` is NULL for a valid message. Null and absent are the same for a required field, while
+    ``error`` is NULL for a valid message and ``EMPTY`` for one without a value, whose payload is NULL. Null and absent are the same for a required field, while
     empty text, 0 and false count as present. A message is checked for its encoding, then for being
     one JSON object, then for its required fields, then for the declared types.
 
@@ -56,7 +94,8 @@ def validate(
     def read(column: str) -> Column:
         return F.coalesce(F.col(f"{column}._bad").isNull() & F.col(f"{column}.p").isNotNull(), F.lit(False))
 
-    typed, strings = utf8 & read("_typed"), read("_strings")
+    parsed, strings = utf8 & read("_event"), read("_strings")
+    typed = F.col("_fits")
     single = F.coalesce("_single", F.lit(False))
     other_kind = F.coalesce(F.col("_other") == 1, F.lit(False))
     fits, is_object = typed & single, (typed | strings) & single
@@ -65,7 +104,11 @@ def validate(
     raw = F.col(value).cast("string")
     judged = (
         messages.select(*keep, raw.alias("_text"), F.coalesce(F.is_valid_utf8(raw), F.lit(False)).alias("_utf8"))
-        .withColumn("_typed", F.when(utf8, strict_json.parse_member(text, _EVENT_DDL)))
+        .withColumn("_event", F.when(utf8, strict_json.parse_member(text, _EVENT_DDL)))
+        .withColumn("_fits", F.when(parsed, _texts_fit(F.col("_event.p"))).otherwise(False))
+        .withColumn(
+            "_typed", F.when(typed, F.struct(*[_member(F.col("_event.p"), f).alias(f.name) for f in CONTACT_SCHEMA]))
+        )
         .withColumns(
             {
                 "_strings": F.when(utf8 & ~typed & opens_object, strict_json.parse_member(text, strings_ddl)),
@@ -83,29 +126,30 @@ def validate(
         )
         .withColumn(
             "_faltantes",
-            F.when(fits & _complete(F.col("_typed.p"), required), none)
-            .when(fits, _missing(F.col("_typed.p"), required))
+            F.when(fits & _complete(F.col("_typed"), required), none)
+            .when(fits, _missing(F.col("_typed"), required))
             .when(is_object, _missing(F.col("_strings.p"), required))
             .otherwise(none),
         )
         .withColumn(
             "_error",
-            F.when(~utf8, INVALID_UTF8)
+            F.when(text.isNull(), EMPTY)
+            .when(~utf8, INVALID_UTF8)
             .when(F.size("_faltantes") > 0, _missing_text(F.col("_faltantes")))
             .when(is_object & ~fits, BAD_TYPE)
             .when(other_kind, NOT_OBJECT)
             .when(~is_object, INVALID_JSON),
         )
     )
-    # A predicate on ``error`` is not pushed through a generator, so splitting the result never
-    # repeats the parse inside the filter.
-    outcome = F.struct(
+    # A predicate on ``error`` or ``faltantes`` is not pushed through a generator, so splitting the result
+    # never repeats the parse inside the filter. The costly columns lie beside it and are pruned where
+    # nobody asks.
+    return judged.select(
+        *keep,
         F.when(utf8, text).otherwise(F.make_valid_utf8(text)).alias("raw_payload"),
-        F.col("_faltantes").alias("faltantes"),
-        F.col("_error").alias("error"),
-        F.when(F.col("_error").isNull(), F.col("_typed.p")).alias("evento"),
+        F.when(F.col("_error").isNull(), F.col("_typed")).alias("evento"),
+        F.inline(F.array(F.struct(F.col("_faltantes").alias("faltantes"), F.col("_error").alias("error")))),
     )
-    return judged.select(*keep, F.inline(F.array(outcome)))
 
 
 def valid_rows(validated: DataFrame) -> DataFrame:
@@ -124,17 +168,20 @@ def reason_code(error: Column) -> Column:
     return F.when(error.startswith(MISSING_PREFIX), MISSING_FIELDS).otherwise(error)
 
 
-def replay_dlq(dlq: DataFrame, required: Sequence[str] = REQUIRED_FIELDS) -> DataFrame:
+def replay_dlq(
+    dlq: DataFrame, required: Sequence[str] = REQUIRED_FIELDS, keep: Sequence[str] = ()
+) -> DataFrame:
     """Validate stored payloads again, for instance after a change of rules.
 
     Rows rejected for their encoding hold replacement characters, not the bytes that arrived, so
     they keep their reason whatever the stored text looks like.
     """
     stored = F.col("stored_error")
-    source = dlq.select(F.col("raw_payload").cast("binary").alias("value"), F.col("error").alias("stored_error"))
-    again = validate(source, required=required, keep=["stored_error"])
-    lost = stored == INVALID_UTF8
+    source = dlq.select(*keep, F.col("raw_payload").cast("binary").alias("value"), F.col("error").alias("stored_error"))
+    again = validate(source, required=required, keep=[*keep, "stored_error"])
+    lost = stored.isin(INVALID_UTF8, EMPTY)
     return again.select(
+        *keep,
         "raw_payload",
         "faltantes",
         F.when(lost, stored).otherwise(F.col("error")).alias("error"),

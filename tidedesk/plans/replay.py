@@ -3,22 +3,58 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidedesk.functions.contact import event_date
 from tidedesk.operators.validate import replay_dlq, valid_rows
-from tidedesk.schema import REQUIRED_FIELDS
-from tidedesk.sources.tables import CLUSTER_BY, DAY, ContactStore, read_dlq, replace_load
+from tidedesk.schema import CONTACT_SCHEMA, REQUIRED_FIELDS
+from tidedesk.sources.tables import CLUSTER_BY, DAY, DLQ_DAY, ContactStore, Folder, read_dlq, replace_load
 
 REPLAY_LOAD = "reproceso"
 
 
-def replay_store(spark: SparkSession, store: ContactStore, required: Sequence[str] = REQUIRED_FIELDS) -> None:
-    """Adds the stored rejects that are valid by now to the contacts table, as one load.
+def _marks(spark: SparkSession, store: ContactStore) -> DataFrame | None:
+    """Fingerprints and days of the dead letters that replays have repaired."""
+    done = _replays(spark, store)
+    schema = f"huella string, {DLQ_DAY} date"
+    return spark.read.schema(schema).parquet(*done) if done else None
 
-    The dead letters stay. A later replay covers them all again and replaces that load, so repeating
-    it adds no row twice.
+
+def _replays(spark: SparkSession, store: ContactStore) -> list[str]:
+    """The marks of the replays that ended."""
+    return [mark.rpartition("/")[0] for mark in Folder(spark, store.repaired).matching("repaso=*/_SUCCESS")]
+
+
+def replay_store(
+    spark: SparkSession,
+    store: ContactStore,
+    required: Sequence[str] = REQUIRED_FIELDS,
+    start: date | None = None,
+    end: date | None = None,
+) -> None:
+    """Adds the stored rejects that are valid by now to the contacts table, as one more load.
+
+    The dead letters stay, and so does what earlier replays repaired: only dead letters without a mark
+    of repair, of the days of capture from ``start`` to ``end``, are parsed. Equal payloads of a day
+    are repaired together. Marks are written last and number the replays, so a replay that failed
+    halfway is replaced by the next. A text field that is no longer required is stored as empty text,
+    as the table takes no NULL there.
     """
-    repaired = valid_rows(replay_dlq(read_dlq(spark, store.dlq), required)).withColumn(DAY, event_date())
-    replace_load(repaired, store.contacts, REPLAY_LOAD, DAY, *CLUSTER_BY)
+    letters = read_dlq(spark, store.dlq, start, end).withColumn("huella", F.sha2("raw_payload", 256))
+    repaired = _marks(spark, store)
+    if repaired is not None:
+        letters = letters.join(repaired, ["huella", DLQ_DAY], "left_anti")
+    load = f"{REPLAY_LOAD}-{len(_replays(spark, store)):06d}"
+    outcome = replay_dlq(letters, required, keep=["huella", DLQ_DAY]).persist()
+    try:
+        texts = [f.name for f in CONTACT_SCHEMA if f.name in REQUIRED_FIELDS and isinstance(f.dataType, T.StringType)]
+        rows = valid_rows(outcome).withColumns({name: F.coalesce(name, F.lit("")) for name in texts})
+        replace_load(rows.withColumn(DAY, event_date()), store.contacts, load, DAY, *CLUSTER_BY)
+        marks = outcome.where(F.col("error").isNull()).select("huella", DLQ_DAY).distinct()
+        marks.write.mode("overwrite").parquet(f"{store.repaired}/repaso={load}")
+    finally:
+        outcome.unpersist()

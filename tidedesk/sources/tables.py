@@ -1,15 +1,18 @@
 """The contacts table and its dead-letter table as partitioned Parquet.
 
-Layout: ``<table>/lote=<load>/<day>/part-*``, one ``lote`` per load job or micro-batch. A load owns
-its folder, so repeating it replaces its own rows and no others, with any output committer. Rows
-are clustered by channel and queue inside a day, for row-group skipping.
+Layout: ``<table>/<day>/lote=<load>/part-*``, one ``lote`` per load job or micro-batch. A read of some
+days looks into their folders only, however many loads there have been. A load owns its folders, so
+repeating it replaces its own rows and no others. Rows are clustered by channel and queue inside a
+load, for row-group skipping.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -45,8 +48,8 @@ class ContactStore:
         return f"{self.root}/contactos_dlq"
 
     @property
-    def days(self) -> str:
-        return f"{self.root}/contactos_dias"
+    def repaired(self) -> str:
+        return f"{self.root}/reprocesados"
 
     @property
     def live(self) -> str:
@@ -61,7 +64,7 @@ def new_load_id() -> str:
     return f"carga-{uuid.uuid4().hex}"
 
 
-def _arranged(rows: DataFrame, day: str, *within: str, count: Observation | None = None) -> DataFrame:
+def _arranged(rows: DataFrame, day: str, load: str, *within: str, count: Observation | None = None) -> DataFrame:
     """Rows of a day together, in tasks of the advisory size: AQE splits a day that is too big for one.
 
     Without AQE a hash shuffle by day would leave a hot day to one task, so rows stay where they are.
@@ -71,81 +74,133 @@ def _arranged(rows: DataFrame, day: str, *within: str, count: Observation | None
     arranged = rows.hint("rebalance", day) if adaptive else rows
     if count is not None:
         arranged = arranged.observe(count, F.count("*").alias("filas"))
-    return arranged.sortWithinPartitions(day, *within)
+    # The writer asks for its partition columns first; named here, it sorts no second time.
+    return arranged.withColumn(LOAD, F.lit(load)).sortWithinPartitions(day, LOAD, *within)
 
 
-def _write(rows: DataFrame, path: str, *partitions: str, mode: str, max_records_per_file: int) -> None:
-    (
-        rows.write.mode(mode)
-        .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", max_records_per_file)
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
+class Folder:
+    """A folder in whatever file system its path names."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._root = self._path(path)
+        self._fs = self._root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def matching(self, pattern: str) -> list[str]:
+        found = self._fs.globStatus(self._path(self._root, pattern))
+        return [status.getPath().toString() for status in found or []]
+
+    def delete(self, paths: Iterable[str]) -> None:
+        for path in paths:
+            self._fs.delete(self._path(path), True)
+
+    def move(self, source: str, target: str) -> None:
+        if not self._fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"cannot move {source} to {target}")
+
+    def put(self, name: str, text: str) -> None:
+        """Writes a small file, replacing one of that name."""
+        out = self._fs.create(self._path(self._root, name), True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+
+def _write(rows: DataFrame, path: str, day: str, max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
+    rows.write.mode("append").option("maxRecordsPerFile", max_records_per_file).partitionBy(day, LOAD).parquet(path)
 
 
 def write_contacts(
     contacts: DataFrame, path: str, mode: str = "append", max_records_per_file: int = MAX_RECORDS_PER_FILE
 ) -> None:
-    """A load job: ``append`` adds a load, ``overwrite`` is a full refresh of the table."""
+    """A load job: ``append`` adds a load, ``overwrite`` is a full refresh of the table.
+
+    A refresh removes the other loads once the new one is there, so a failed one leaves the old rows.
+    """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be append or overwrite, not {mode!r}")
-    require_utc(contacts.sparkSession)
-    rows = _arranged(conform(contacts, event_date().alias(DAY)), DAY, *CLUSTER_BY)
-    if mode == "append":
-        _write(rows, f"{path}/{LOAD}={new_load_id()}", DAY, mode="error", max_records_per_file=max_records_per_file)
-    else:
-        refreshed = rows.withColumn(LOAD, F.lit(new_load_id()))
-        _write(refreshed, path, LOAD, DAY, mode="overwrite", max_records_per_file=max_records_per_file)
+    spark = contacts.sparkSession
+    require_utc(spark)
+    old = Folder(spark, path).matching(f"{DAY}=*/{LOAD}=*") if mode == "overwrite" else []
+    rows = _arranged(conform(contacts, event_date().alias(DAY)), DAY, new_load_id(), *CLUSTER_BY)
+    _write(rows, path, DAY, max_records_per_file)
+    Folder(spark, path).delete(old)
 
 
 def replace_load(
     rows: DataFrame, path: str, load: str, day: str, *within: str, count: Observation | None = None
 ) -> None:
-    """Writes one load's folder, replacing what an earlier attempt at the same load left there."""
-    arranged = _arranged(rows, day, *within, count=count)
-    _write(arranged, f"{path}/{LOAD}={load}", day, mode="overwrite", max_records_per_file=MAX_RECORDS_PER_FILE)
+    """Writes one load's rows, replacing what an earlier attempt at the same load left on any day.
 
-
-def consolidate_days(spark: SparkSession, store: ContactStore, start: date, end: date) -> None:
-    """Rewrites the finished days from ``start`` to ``end`` as one clustered partition each.
-
-    A year of 60-second loads is half a million folders; the consolidated copy has one per day. The
-    loads stay, and a repeated run replaces the same days, for instance after late contacts.
+    Looking for an earlier attempt asks each day folder for that load; it lists no other load.
     """
-    finished = read_contacts(spark, store.contacts).where(F.col(DAY).between(F.lit(start), F.lit(end)))
-    (
-        _arranged(finished, DAY, *CLUSTER_BY)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(DAY)
-        .parquet(store.days)
-    )
-
+    folder = Folder(rows.sparkSession, path)
+    folder.delete(folder.matching(f"{day}=*/{LOAD}={load}"))
+    _write(_arranged(rows, day, load, *within, count=count), path, day)
 
-def read_days(spark: SparkSession, store: ContactStore) -> DataFrame:
-    """The consolidated days, with the columns of ``read_contacts``."""
-    return spark.read.schema(T.StructType([*CONTACT_SCHEMA, _PARTS[DAY]])).parquet(store.days)
 
+def log_load(spark: SparkSession, store: ContactStore, load: str, day: str, written: dict[str, int]) -> None:
+    """Notes the rows per table of one load in the folder of its day; a small file, no job."""
+    lines = [json.dumps({"tabla": table, "filas": n, LOAD: load}) for table, n in written.items()]
+    Folder(spark, store.load_log).put(f"{DAY}={day}/{load}.json", "\n".join(lines) + "\n")
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, day: str) -> DataFrame:
-    declared = T.StructType([*schema, _PARTS[LOAD], _PARTS[day]])
-    return spark.read.schema(declared).parquet(path).drop(LOAD)
 
+def consolidate_days(spark: SparkSession, store: ContactStore, start: date, end: date) -> None:
+    """Rewrites each finished day from ``start`` to ``end`` as one clustered load in place of its loads.
 
-def read_contacts(spark: SparkSession, path: str) -> DataFrame:
-    """The 13 contact columns and ``fecha``; only a filter on ``fecha`` prunes partitions."""
-    return _read(spark, path, CONTACT_SCHEMA, DAY)
+    The new load is written aside first. Then, day by day, it takes the place of the loads it was made
+    from; a load that came meanwhile stays. Until that swap ends readers of that day may miss rows,
+    so it is for days that have ended. A repeated run does the same again.
+    """
+    folder, load = Folder(spark, store.contacts), f"dia-{uuid.uuid4().hex}"
+    aside = f"{store.contacts}/_{load}"
+    days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
+    merged = {day: folder.matching(f"{DAY}={day}/{LOAD}=*") for day in days}
+    for day in [day for day, loads in merged.items() if not loads]:
+        del merged[day]
+    if not merged:
+        return
+    rows = read_contacts(spark, store.contacts, min(merged), max(merged))
+    _write(_arranged(rows, DAY, load, *CLUSTER_BY), aside, DAY)
+    for day, loads in merged.items():
+        folder.delete(loads)
+        folder.move(f"{aside}/{DAY}={day}/{LOAD}={load}", f"{store.contacts}/{DAY}={day}/{LOAD}={load}")
+    folder.delete([aside])
+
+
+def _read(
+    spark: SparkSession, path: str, schema: T.StructType, day: str, start: date | None, end: date | None
+) -> DataFrame:
+    declared = T.StructType([*schema, _PARTS[day], _PARTS[LOAD]])
+    reader = spark.read.schema(declared)
+    if start is None or end is None:
+        return reader.parquet(path)
+    days = [start + timedelta(days=n) for n in range((end - start).days + 1)]
+    folder = Folder(spark, path)
+    there = [found for d in days for found in folder.matching(f"{day}={d}")]
+    if not there:
+        return spark.createDataFrame([], declared)
+    return reader.option("basePath", path).parquet(*there)
+
+
+def read_contacts(spark: SparkSession, path: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    """The 13 contact columns and ``fecha``.
+
+    With ``start`` and ``end`` only the folders of these days are looked into. Without them all
+    folders are listed, and a filter on ``fecha`` still prunes what is read.
+    """
+    return _read(spark, path, CONTACT_SCHEMA, DAY, start, end).drop(LOAD)
 
 
-def read_dlq(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, DLQ_SCHEMA, DLQ_DAY)
+def read_dlq(spark: SparkSession, path: str, start: date | None = None, end: date | None = None) -> DataFrame:
+    """Dead letters with their day of capture; the dates are such days."""
+    return _read(spark, path, DLQ_SCHEMA, DLQ_DAY, start, end).drop(LOAD)
 
 
 def read_load_log(spark: SparkSession, path: str) -> DataFrame:
-    """Rows per table and load."""
-    return spark.read.schema(f"tabla string, filas bigint, {LOAD} string").parquet(path)
+    """Rows per table and load, with the day of the load."""
+    return spark.read.schema(f"tabla string, filas bigint, {LOAD} string, {DAY} date").json(path)
 
 
 def _required(field: T.StructField) -> Column:
@@ -167,10 +222,10 @@ def _create(spark: SparkSession, name: str, schema: T.StructType, day: str, path
         null = "" if field.nullable else " NOT NULL"
         return f"{field.name} {field.dataType.simpleString()}{null} COMMENT '{field.metadata['comment']}'"
 
-    columns = ", ".join(column(f) for f in [*schema, _PARTS[LOAD], _PARTS[day]])
+    columns = ", ".join(column(f) for f in [*schema, _PARTS[day], _PARTS[LOAD]])
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY ({LOAD}, {day}) LOCATION '{path}' COMMENT '{comment}'"
+        f"PARTITIONED BY ({day}, {LOAD}) LOCATION '{path}' COMMENT '{comment}'"
     )
 
 
@@ -183,7 +238,17 @@ def create_tables(spark: SparkSession, store: ContactStore, database: str = "def
     return contacts, dlq
 
 
-def refresh_tables(spark: SparkSession, database: str = "default") -> None:
-    """Makes loads written since the last refresh visible in the catalog."""
-    for table in ("contactos", "contactos_dlq"):
-        spark.sql(f"MSCK REPAIR TABLE {database}.{table}")
+def register_load(spark: SparkSession, store: ContactStore, load: str, database: str = "default") -> None:
+    """Makes one load visible in the catalog: its own partitions are added, no other is looked at."""
+    for table, path, day in (("contactos", store.contacts, DAY), ("contactos_dlq", store.dlq, DLQ_DAY)):
+        found = [folder.split("/")[-2].split("=", 1)[1] for folder in Folder(spark, path).matching(f"{day}=*/{LOAD}={load}")]
+        parts = " ".join(f"PARTITION ({day} = DATE '{d}', {LOAD} = '{load}')" for d in found)
+        if parts:
+            spark.sql(f"ALTER TABLE {database}.{table} ADD IF NOT EXISTS {parts}")
+
+
+def logged_loads(spark: SparkSession, store: ContactStore, day: date | None = None) -> list[str]:
+    """Loads in the log, of one day or of all."""
+    entries = read_load_log(spark, store.load_log)
+    entries = entries.where(F.col(DAY) == F.lit(day)) if day else entries
+    return [row[0] for row in entries.select(LOAD).distinct().orderBy(LOAD).collect()]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -11,9 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidedesk.functions.contact import event_date
 from tidedesk.operators.validate import validate
-from tidedesk.schema import DLQ_SCHEMA, REQUIRED_FIELDS, WINDOW_SECONDS, literal_rows
+from tidedesk.schema import DLQ_SCHEMA, REQUIRED_FIELDS, WINDOW_SECONDS
 from tidedesk.session import require_utc
-from tidedesk.sources.tables import CLUSTER_BY, DAY, DLQ_DAY, LOAD, ContactStore, replace_load
+from tidedesk.sources.tables import CLUSTER_BY, DAY, DLQ_DAY, ContactStore, log_load, replace_load
 
 log = logging.getLogger(__name__)
 
@@ -35,24 +36,24 @@ def write_batch(rows: DataFrame, store: ContactStore, load: str) -> dict[str, in
     """Writes one micro-batch of ``ingest_rows`` to both tables; returns the rows per table.
 
     The batch is kept while both sinks read it, so each message is parsed once. The two writes are
-    not atomic together, but a retry of the load replaces both folders.
+    not atomic together, but a retry of the load replaces both. Rows are counted as they are written:
+    a batch costs the two writes and no further job. An empty batch leaves no rows and no log entry.
     """
     rows = rows.persist()
+    counts = {"contactos": Observation(), "contactos_dlq": Observation()}
     try:
-        if rows.isEmpty():
-            return {}
         valid = rows.where(F.col("error").isNull()).select("evento.*").withColumn(DAY, event_date())
         rejected = rows.where(F.col("error").isNotNull()).select(
             *DLQ_SCHEMA.names, F.to_date("ingested_at").alias(DLQ_DAY)
         )
-        counts = {"contactos": Observation(), "contactos_dlq": Observation()}
         replace_load(valid, store.contacts, load, DAY, *CLUSTER_BY, count=counts["contactos"])
         replace_load(rejected, store.dlq, load, DLQ_DAY, count=counts["contactos_dlq"])
     finally:
         rows.unpersist()
     written = {table: count.get["filas"] for table, count in counts.items()}
-    entries = literal_rows(rows.sparkSession, list(written.items()), "tabla string, filas bigint")
-    entries.write.mode("overwrite").parquet(f"{store.load_log}/{LOAD}={load}")
+    if not any(written.values()):
+        return {}
+    log_load(rows.sparkSession, store, load, datetime.now(timezone.utc).date().isoformat(), written)
     for table, n in written.items():
         log.info("load %s: %d rows to %s", load, n, table)
     return written

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, GroupedData
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidedesk.functions.contact import contact_line
@@ -11,6 +12,7 @@ from tidedesk.functions.measures import rounded
 from tidedesk.operators.kpis import KPIS
 from tidedesk.operators.validate import valid_rows, validate
 from tidedesk.schema import WINDOW_SECONDS
+from tidedesk.sources.tables import DAY, LOAD, replace_load
 
 LATENESS = "2 minutes"
 
@@ -35,7 +37,7 @@ def window_batches(
 
 
 def live_kpis(contacts: DataFrame, seconds: int = WINDOW_SECONDS, lateness: str = LATENESS) -> DataFrame:
-    """KPIs per window and channel. A stream emits a window once the watermark has passed its end."""
+    """KPIs per window and channel, for batch and streaming input alike."""
     totals = _windowed(contacts, "timestamp_evento", seconds, lateness, "canal").agg(
         F.count("*").alias("total_contactos"), *rounded(*KPIS)
     )
@@ -51,18 +53,43 @@ def live_kpis(contacts: DataFrame, seconds: int = WINDOW_SECONDS, lateness: str
 def start_live(
     windows: DataFrame, path: str, checkpoint: str, drain: bool = False, seconds: int = WINDOW_SECONDS
 ) -> StreamingQuery:
-    """Appends closed windows as Parquet files, each exactly once."""
+    """Writes the windows that each micro-batch has changed, as one load of the table in ``path``.
+
+    A window is written again while contacts for it arrive, so none waits for the watermark and a
+    bounded run leaves none out; ``read_live`` takes the latest. Once the watermark has passed its
+    end, it is final and leaves the state. A retried micro-batch replaces its own load.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        # A row for each changed window and channel; stateful batches have no adaptive plan to merge tasks.
+        dated = rows.withColumn(DAY, F.to_date("inicio")).repartition(DAY)
+        replace_load(dated, path, f"{batch_id:010d}-{query_id}", DAY, "inicio")
+
     trigger = {"availableNow": True} if drain else {"processingTime": f"{seconds} seconds"}
     return (
-        windows.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
+        windows.writeStream.outputMode("update")
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
+def read_live(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The latest state of every window in ``path``; ``schema`` is that of the streamed windows.
+
+    The latest is that of the highest micro-batch. Aggregated with partial maxima, so that a window
+    written very often is small before it moves.
+    """
+    declared = T.StructType([*schema, T.StructField(DAY, T.DateType()), T.StructField(LOAD, T.StringType())])
+    rows = spark.read.schema(declared).parquet(path)
+    keys = [name for name in ("inicio", "fin", "canal") if name in schema.names]
+    values = [name for name in schema.names if name not in keys]
+    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), LOAD).alias("v"))
+    return latest.select(*keys, "v.*").select(*schema.names)
+
+
 def message_lines(messages: DataFrame) -> DataFrame:
     """One readable line per valid message."""
     return valid_rows(validate(messages)).select(contact_line().alias("linea"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidedesk.schema import HOURLY_FACTOR
 from tidedesk_checks.projection import CHANNELS
-from tidedesk_checks.queries import CHANNEL_PLAN
+from tidedesk_checks.queries import CHANNEL_PLAN, QUEUE_PLAN
 
 _CONTACTS = """
 base AS (
@@ -84,6 +84,9 @@ messages AS (
       WHEN 4 THEN text || chr(65533)
       WHEN 5 THEN text || ' trailing'
       WHEN 7 THEN left(text, length(text) - 1) || ',"extra":1}}'
+      WHEN 9 THEN regexp_replace(text, '"canal":"[^"]*"', '"canal":{{"a":1}}')
+      WHEN 10 THEN regexp_replace(text, '"timestamp_evento":"[^"]*"', '"timestamp_evento":"2026"')
+      WHEN 11 THEN NULL
       ELSE text END AS raw_payload,
     CASE m
       WHEN 0 THEN 'INVALID_JSON'
@@ -92,6 +95,9 @@ messages AS (
       WHEN 3 THEN 'BAD_TYPE'
       WHEN 4 THEN 'INVALID_UTF8'
       WHEN 5 THEN 'INVALID_JSON'
+      WHEN 9 THEN 'BAD_TYPE'
+      WHEN 10 THEN 'BAD_TYPE'
+      WHEN 11 THEN 'EMPTY'
       WHEN 8 THEN 'Faltan campos obligatorios: [''abandonado'']'
       END AS error
   FROM written
@@ -164,21 +170,12 @@ def _windows(kpis: str, dimensions: str = "") -> str:
 
 
 _VALID = f"SELECT {_COLUMNS} FROM messages WHERE error IS NULL"
+_REPLAYED = f"""SELECT * REPLACE (coalesce(cola, '') AS cola, coalesce(region, '') AS region)
+                FROM (SELECT {_COLUMNS} FROM messages WHERE error IS NULL OR m = 1)"""
 _PER_DAY = """SELECT CAST(timestamp_evento AS DATE) AS fecha, {n} * count(*) AS filas,
                      {n} * count(agente_id) AS atendidos, CAST({n} * sum(csat) AS BIGINT) AS csat
               FROM contacts GROUP BY ALL"""
 
-_VIEW_SIZES = {
-    "v_kpis_globales": "1",
-    "v_kpis_por_canal": "count(DISTINCT canal)",
-    "v_kpis_por_cola": "count(DISTINCT cola)",
-    "v_kpis_por_region": "count(DISTINCT region)",
-    "v_kpis_horarios": "count(DISTINCT hour(timestamp_evento))",
-    "v_kpis_por_agente": "count(DISTINCT agente_id)",
-    "v_cpo": "1",
-    "v_contactos_dashboard": "count(*)",
-}
-
 _SERVICE = ("agente_id", "tiempo_atencion_seg", "resuelto_primer_contacto", "csat", "orden_asociada")
 _AUDIT = {
     **{
@@ -210,7 +207,120 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
 
 
+def _mix(dim: str, plan: list[tuple]) -> str:
+    return _over_contacts(
+        f"""SELECT coalesce(o.{dim}, p.{dim}) AS {dim}, coalesce(n, 0) AS contactos,
+                   coalesce(share, 0.0) AS peso_observado, p.peso AS peso_plan,
+                   round(coalesce(share, 0.0) - p.peso, 4) AS desvio
+            FROM (SELECT {dim}, count(*) AS n,
+                         round(CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE), 4) AS share
+                  FROM contacts GROUP BY {dim}) o
+            FULL JOIN (SELECT {dim}, CAST(peso AS DOUBLE) AS peso
+                       FROM (VALUES {_values(plan)}) v({dim}, peso)) p ON o.{dim} = p.{dim}"""
+    )
+
+
+def _long(source: str, name: str, key: str, measures: dict[str, str], group: str = "") -> str:
+    """Every measure of a view as rows of (vista, clave, medida, valor)."""
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS vista, {key} AS clave, '{measure}' AS medida, CAST({value} AS DOUBLE) AS valor FROM {source} {group}"
+        for measure, value in measures.items()
+    )
+
+
+def _round(name: str) -> str:
+    return f"round({_MEASURES[name]}, {2 if name == 'csat_prom' else 1})"
+
+
+_ALL = {"total_contactos": "count(*)", **{n: _round(n) for n in ("sla_pct", "abandono_pct", "aht_seg", "fcr_pct", "csat_prom")}}
+_SERVED = "(SELECT * FROM contacts WHERE agente_id IS NOT NULL)"
+_ORDERS = "(SELECT * FROM contacts WHERE orden_asociada IS NOT NULL)"
+_VIEWS = " UNION ALL ".join(
+    [
+        _long("contacts", "v_kpis_globales", "''", _ALL),
+        *[
+            _long("contacts", f"v_kpis_por_{dim}", dim, _ALL, f"GROUP BY {dim}")
+            for dim in ("canal", "cola", "region")
+        ],
+        _long(
+            "contacts",
+            "v_kpis_horarios",
+            "CAST(hour(timestamp_evento) AS VARCHAR)",
+            {n: _ALL[n] for n in ("total_contactos", "sla_pct", "abandono_pct", "aht_seg")},
+            "GROUP BY hour(timestamp_evento)",
+        ),
+        _long(
+            _SERVED,
+            "v_kpis_por_agente",
+            "agente_id",
+            {"contactos_atendidos": "count(*)", **{n: _ALL[n] for n in ("aht_seg", "fcr_pct", "csat_prom")}},
+            "GROUP BY agente_id",
+        ),
+        _long(
+            _ORDERS,
+            "v_cpo",
+            "''",
+            {
+                "contactos_con_orden": "count(*)",
+                "ordenes_distintas": "count(DISTINCT orden_asociada)",
+                "cpo": "round(CAST(count(*) AS DOUBLE) / nullif(count(DISTINCT orden_asociada), 0), 2)",
+            },
+        ),
+        _long(
+            "rows_",
+            "v_contactos_dashboard",
+            "contact_id",
+            {
+                n: n
+                for n in (
+                    "tiempo_espera_seg", "tiempo_atencion_seg", "csat", "hora_del_dia", "sla_flag", "abandono_flag",
+                    "fcr_flag", "con_orden_flag",
+                )
+            },
+        ),
+    ]
+)
+_TILE = {n: _MEASURES[n] for n in ("sla_pct", "aht_seg", "abandono_pct", "fcr_pct", "csat_prom")}
+_SCORES = {
+    "sla_pct": f"round({_MEASURES['sla_pct']}, 1)",
+    "aht_seg": f"round({_MEASURES['aht_seg']}, 0)",
+    "abandono_pct": f"round({_MEASURES['abandono_pct']}, 1)",
+    "fcr_pct": f"round({_MEASURES['fcr_pct']}, 1)",
+    "csat_prom": f"round({_MEASURES['csat_prom']}, 2)",
+    "cpo": "round(CAST(sum(con_orden_flag) AS DOUBLE) / nullif(count(DISTINCT orden_asociada), 0), 2)",
+}
+_BEST = f"""(SELECT agente_id, {_raw("fcr_pct", "aht_seg", "csat_prom")}, count(*) AS contactos
+             FROM rows_ WHERE abandono_flag = 0 GROUP BY agente_id
+             ORDER BY fcr_pct DESC NULLS LAST, contactos DESC, agente_id LIMIT 10)"""
+_HOUR = "CAST(hora_del_dia AS VARCHAR)"
+_TILES = " UNION ALL ".join(
+    [
+        _long("rows_", "scorecards", "''", _SCORES),
+        _long("rows_", "sla_by_hour", _HOUR, {"sla_pct": _MEASURES["sla_pct"]}, "GROUP BY hora_del_dia"),
+        _long("rows_", "volume_by_hour", _HOUR, {"contactos": "count(*)"}, "GROUP BY hora_del_dia"),
+        _long("rows_", "tile_channel", "canal", _TILE, "GROUP BY canal"),
+        _long("rows_", "tile_queue", "cola", _TILE, "GROUP BY cola"),
+        _long(_BEST, "top_agents_fcr", "agente_id", {n: n for n in ("fcr_pct", "aht_seg", "csat_prom", "contactos")}),
+        _long(
+            "rows_",
+            "heatmap_sla",
+            _HOUR,
+            {c: f"100 * avg(sla_flag) FILTER (canal = '{c}')" for c in CHANNELS},
+            "GROUP BY hora_del_dia",
+        ),
+        _long(
+            "rows_",
+            "heatmap_volume",
+            _HOUR,
+            {c: f"nullif(count(*) FILTER (canal = '{c}'), 0)" for c in CHANNELS},
+            "GROUP BY hora_del_dia",
+        ),
+    ]
+)
+
+
 ORACLE: dict[str, str] = {
+    "scan_table": _over_contacts(f"SELECT {_COLUMNS} FROM contacts"),
     "scan_contacts": _over_contacts(f"SELECT {_COLUMNS} FROM contacts"),
     "kpis_global": _over_contacts(f"SELECT count(*) AS total_contactos, {_KPIS} FROM contacts"),
     **{
@@ -238,13 +348,7 @@ ORACLE: dict[str, str] = {
             for dim in ("canal", "cola", "region")
         )
     ),
-    "registered_views": _over_contacts(
-        " UNION ALL ".join(
-            f"SELECT '{view}' AS vista, CAST({size} AS BIGINT) AS filas FROM "
-            + ("(SELECT 1)" if size == "1" else "contacts")
-            for view, size in _VIEW_SIZES.items()
-        )
-    ),
+    "registered_views": _over_rows(_VIEWS),
     "contacts_dashboard": _over_rows("SELECT * FROM rows_"),
     "scorecards": _over_rows(_SCORECARDS),
     "sla_by_hour": _over_rows(
@@ -262,14 +366,11 @@ ORACLE: dict[str, str] = {
     ),
     "heatmap_sla": _pivot("100 * avg(sla_flag) FILTER (canal = '{c}')"),
     "heatmap_volume": _pivot("nullif(count(*) FILTER (canal = '{c}'), 0)"),
-    "dashboard_refresh": _over_rows(
-        " UNION ALL ".join(
-            f"""SELECT '{dim}' AS dimension, CAST({dim} AS VARCHAR) AS valor, count(*) AS contactos, {_TABLE}
-                FROM rows_ GROUP BY {dim}"""
-            for dim in ("hora_del_dia", "canal", "cola", "agente_id")
-        )
-    ),
+    "dashboard_refresh": _over_rows(_TILES),
     "filter_date_range": _over_rows(f"SELECT * FROM rows_ WHERE {_WEEK}"),
+    "filter_this_month": _over_rows(
+        "SELECT * FROM rows_ WHERE fecha BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'"
+    ),
     "filter_channel": _over_rows("SELECT * FROM rows_ WHERE canal IN ('click', 'purchase')"),
     "filter_region": _over_rows("SELECT * FROM rows_ WHERE region IN ('ASIA', 'EUROPE')"),
     "filtered_kpis": _over_rows(
@@ -296,26 +397,20 @@ ORACLE: dict[str, str] = {
     "publish_messages": f"WITH {_CONTACTS}, sent AS ({_json('contacts')}) SELECT text AS mensaje, canal FROM sent",
     "attr_filter": _over_messages("SELECT raw_payload, error FROM messages WHERE canal IN ('click', 'view')"),
     "dlq_summary": _over_messages(
-        """SELECT CASE WHEN m IN (1, 8) THEN 'MISSING_FIELDS' ELSE error END AS motivo, count(*) AS mensajes
+        """SELECT CAST(timestamp_evento AS DATE) AS fecha,
+                  CASE WHEN m IN (1, 8) THEN 'MISSING_FIELDS' ELSE error END AS motivo, count(*) AS mensajes
            FROM messages WHERE error IS NOT NULL GROUP BY ALL"""
     ),
-    "dlq_replay": _over_messages(f"SELECT {_COLUMNS} FROM messages WHERE error IS NULL OR m = 1"),
+    "dlq_replay": _over_messages(_REPLAYED),
+    "dlq_replay_twice": _over_messages(_REPLAYED),
     "quality_audit": _over_messages(
         " UNION ALL ".join(
             f"SELECT '{rule}' AS regla, count(*) FILTER ({broken}) AS violaciones FROM messages WHERE error IS NULL"
             for rule, broken in _AUDIT.items()
         )
     ),
-    "mix_vs_plan": _over_contacts(
-        f"""SELECT coalesce(o.canal, p.canal) AS canal, coalesce(n, 0) AS contactos,
-                   coalesce(share, 0.0) AS peso_observado, p.peso AS peso_plan,
-                   round(coalesce(share, 0.0) - p.peso, 4) AS desvio
-            FROM (SELECT canal, count(*) AS n,
-                         round(CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE), 4) AS share
-                  FROM contacts GROUP BY canal) o
-            FULL JOIN (SELECT canal, CAST(peso AS DOUBLE) AS peso
-                       FROM (VALUES {_values(CHANNEL_PLAN)}) v(canal, peso)) p ON o.canal = p.canal"""
-    ),
+    "mix_vs_plan": _mix("canal", CHANNEL_PLAN),
+    "mix_vs_plan_queue": _mix("cola", QUEUE_PLAN),
     "demand_curve": _over_contacts(
         f"""SELECT c.hora, coalesce(n, 0) AS contactos, coalesce(share, 0.0) AS fraccion, c.factor,
                    round(coalesce(share, 0.0) - c.factor, 4) AS desvio
@@ -348,8 +443,5 @@ ORACLE: dict[str, str] = {
            FROM messages GROUP BY ALL"""
     ),
     "window_batches": _over_contacts(_windows("count(*) AS contactos")),
-    "live_kpis": _over_contacts(
-        f"""SELECT * FROM ({_windows(f"count(*) AS total_contactos, {_KPIS}", "canal,")})
-            WHERE fin <= (SELECT max(timestamp_evento) FROM contacts) - INTERVAL 2 MINUTE"""
-    ),
+    "live_kpis": _over_contacts(_windows(f"count(*) AS total_contactos, {_KPIS}", "canal,")),
 }

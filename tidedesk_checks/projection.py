@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from tidedesk.sources.messages import publish_messages
 
 # --- Fixed values: the domain of the driver's tables --------------------------------------------------
 CHANNELS = ["click", "error", "purchase", "signup", "view"]
+SALTS = 16
 SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
@@ -39,8 +42,11 @@ def project_events(events: DataFrame, customers: DataFrame) -> DataFrame:
     def served(column, condition=None):
         return F.when(~F.col("abandonado") if condition is None else ~F.col("abandonado") & condition, column)
 
+    same = uid == F.col("c_custkey")
+    if "c_salt" in customers.columns:
+        same = same & (F.pmod(e, F.lit(SALTS)) == F.col("c_salt"))
     return (
-        events.join(customers, uid == F.col("c_custkey"))
+        events.join(customers, same)
         .withColumn("abandonado", abandoned)
         .select(
             e.cast("string").alias("contact_id"),
@@ -94,11 +100,22 @@ def contact_stream(spark: SparkSession, sf_dir: str, max_files: int | None = Non
         reader = reader.option("maxFilesPerTrigger", max_files)
     # The file source takes a folder or a pattern but no single file; this pattern fits either.
     events = reader.parquet(f"{sf_dir}/events.parque[t]")
-    return project_events(events, customer_places(spark, sf_dir))
+    places = customer_places(spark, sf_dir)
+    if fits_broadcast(_table(spark, sf_dir, "customer")):
+        return project_events(events, places)
+    return project_events(events, salted(places))
+
+
+def salted(places: DataFrame) -> DataFrame:
+    """Places dealt out over ``SALTS`` tasks per customer, for joins that cannot be split as they run.
+
+    A plan in a stream is not adaptive: without a salt all events of a hot customer meet in one task.
+    """
+    return places.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("c_salt"))
 
 
-def payloads(rows: DataFrame) -> DataFrame:
-    """The contacts as messages, some of them damaged by the fixture's rules."""
+def payloads(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The contacts as messages, some of them damaged by the fixture's rules, and the ``keep`` columns."""
     m = F.col("contact_id").cast("bigint") % 50
     altered = rows.select(
         *[
@@ -113,7 +130,7 @@ def payloads(rows: DataFrame) -> DataFrame:
             for name in CONTACT_COLUMNS
         ]
     )
-    sent = publish_messages(altered, m.alias("m"))
+    sent = publish_messages(altered, m.alias("m"), *keep)
     text, m = F.col("value").cast("string"), F.col("m")
     damaged = (
         F.when(m == 0, F.substr(text, F.lit(1), F.length(text) - 5).cast("binary"))
@@ -121,7 +138,10 @@ def payloads(rows: DataFrame) -> DataFrame:
         .when(m == 3, F.regexp_replace(text, '"tiempo_espera_seg":[^,]+', '"tiempo_espera_seg":"abc"').cast("binary"))
         .when(m == 4, F.concat("value", F.lit(b"\xff")))
         .when(m == 5, F.concat(text, F.lit(" trailing")).cast("binary"))
+        .when(m == 9, F.regexp_replace(text, '"canal":"[^"]*"', '"canal":{"a":1}').cast("binary"))
+        .when(m == 10, F.regexp_replace(text, '"timestamp_evento":"[^"]*"', '"timestamp_evento":"2026"').cast("binary"))
+        .when(m == 11, F.lit(None).cast("binary"))
         .when(m == 7, F.regexp_replace(text, "[}]$", ',"extra":1}').cast("binary"))
         .otherwise(F.col("value"))
     )
-    return sent.select(damaged.alias("value"), "headers")
+    return sent.select(damaged.alias("value"), "headers", *keep)

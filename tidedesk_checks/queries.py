@@ -13,8 +13,7 @@ from tidedesk.functions.contact import contact_line
 from tidedesk.operators import filters, kpis, quality
 from tidedesk.operators.validate import dlq_rows, valid_rows, validate
 from tidedesk.plans import dashboard
-from tidedesk.plans.dashboard import TABLE_MEASURES
-from tidedesk.plans.refresh import store_cube, table_tile
+from tidedesk.plans.refresh import refresh_dashboard
 from tidedesk.plans.replay import replay_store
 from tidedesk.plans.views import register_views
 from tidedesk.schema import CONTACT_COLUMNS, REQUIRED_FIELDS, literal_rows
@@ -22,12 +21,13 @@ from tidedesk.session import pin_utc, work_dir
 from tidedesk.sources import messages, tables
 from tidedesk.sources.tables import ContactStore
 from tidedesk.streaming.ingest import start_ingest
-from tidedesk.streaming.live import live_kpis, start_live, window_batches
+from tidedesk.streaming.live import live_kpis, read_live, start_live, window_batches
 from tidedesk_checks.projection import contact_stream, contacts, payloads
 
 # --- Fixed values: parameters shared with the SQL in oracle.py ----------------------------------------
 AS_OF = date(2024, 1, 24)
 CHANNEL_PLAN = [("view", 0.45), ("click", 0.30), ("purchase", 0.15), ("correo", 0.10)]
+QUEUE_PLAN = [("AUTOMOBILE", 0.35), ("BUILDING", 0.25), ("FURNITURE", 0.20), ("Pagos", 0.20)]
 REPLAY_OPTIONAL = ("cola", "region")
 # --- End of fixed values ------------------------------------------------------------------------------
 
@@ -74,12 +74,49 @@ over_contacts("contacts_dashboard", dashboard.dashboard_rows)
 over_contacts("scan_contacts", lambda rows: rows.select(*CONTACT_COLUMNS))
 
 
+def long_form(name: str, rows: DataFrame, key: str | None) -> DataFrame:
+    """Every measure of ``rows`` as rows of (vista, clave, medida, valor)."""
+    measures = [c for c in rows.columns if c != key]
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("medida"), F.col(f"`{c}`").cast("double").alias("valor")) for c in measures])
+    )
+    clave = F.col(key).cast("string") if key else F.lit("")
+    return rows.select(F.lit(name).alias("vista"), clave.alias("clave"), cells.alias("c")).select("vista", "clave", "c.*")
+
+
+VIEW_KEYS = {
+    "v_kpis_por_canal": "canal",
+    "v_kpis_por_cola": "cola",
+    "v_kpis_por_region": "region",
+    "v_kpis_horarios": "hora",
+    "v_kpis_por_agente": "agente_id",
+    "v_contactos_dashboard": "contact_id",
+}
+DASHBOARD_NUMBERS = (
+    "tiempo_espera_seg", "tiempo_atencion_seg", "csat", "hora_del_dia", "sla_flag", "abandono_flag", "fcr_flag",
+    "con_orden_flag",
+)
+
+
 @query("registered_views")
 def _registered_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All figures of the eight views over a stored table."""
     path = work_dir(spark, "views")
     tables.write_contacts(contacts(spark, sf_dir), path)
-    names = register_views(tables.read_contacts(spark, path))
-    return spark.sql(" UNION ALL ".join(f"SELECT '{n}' AS vista, count(*) AS filas FROM {n}" for n in names))
+    views = []
+    for name in register_views(tables.read_contacts(spark, path)):
+        rows = spark.sql(f"SELECT * FROM {name}")
+        if name == "v_contactos_dashboard":
+            rows = rows.select("contact_id", *DASHBOARD_NUMBERS)
+        views.append(long_form(name, rows, VIEW_KEYS.get(name)))
+    return reduce(DataFrame.unionByName, views)
+
+
+@query("scan_table")
+def _scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "scan")
+    tables.write_contacts(contacts(spark, sf_dir), path)
+    return tables.read_contacts(spark, path).select(*CONTACT_COLUMNS)
 
 
 # Dashboard
@@ -93,17 +130,17 @@ over_dashboard("heatmap_sla", dashboard.heatmap_sla)
 over_dashboard("heatmap_volume", dashboard.heatmap_volume)
 
 
+TILE_KEYS = {"tile_channel": "canal", "tile_queue": "cola", "top_agents_fcr": "agente_id", "scorecards": None}
+
+
 @query("dashboard_refresh")
 def _dashboard_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table tiles of one refresh, in long form."""
-    cube = store_cube(dashboard.dashboard_rows(contacts(spark, sf_dir)), work_dir(spark, "cube"))
-    tiles = [
-        table_tile(cube, name).select(
-            F.lit(name).alias("dimension"), F.col(name).cast("string").alias("valor"), "contactos", *TABLE_MEASURES
-        )
-        for name in ("hora_del_dia", "canal", "cola", "agente_id")
-    ]
-    return reduce(DataFrame.unionByName, tiles)
+    """All figures of the eight tiles of one refresh."""
+    tiles = refresh_dashboard(dashboard.dashboard_rows(contacts(spark, sf_dir)), work_dir(spark, "cube"))
+    return reduce(
+        DataFrame.unionByName,
+        [long_form(name, tile, TILE_KEYS.get(name, "hora_del_dia")) for name, tile in tiles.items()],
+    )
 
 
 def over_filtered(name: str, controls: filters.DashboardFilter, job: Callable[[DataFrame], DataFrame]) -> None:
@@ -111,6 +148,7 @@ def over_filtered(name: str, controls: filters.DashboardFilter, job: Callable[[D
 
 
 over_filtered("filter_date_range", filters.last_n_days(AS_OF, 7), lambda rows: rows)
+over_filtered("filter_this_month", filters.this_month(AS_OF), lambda rows: rows)
 over_filtered("filter_channel", filters.DashboardFilter(channels=("click", "purchase")), lambda rows: rows)
 over_filtered("filter_region", filters.DashboardFilter(regions=("ASIA", "EUROPE")), lambda rows: rows)
 over_filtered(
@@ -163,16 +201,30 @@ def _attr_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dlq_summary")
 def _dlq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = quality.dlq_summary(dlq_rows(_validated(spark, sf_dir)))
-    return summary.select("motivo", "mensajes")
+    """Rejects per day and reason, taken for captured when their contact happened."""
+    rows = contacts(spark, sf_dir)
+    sent = payloads(rows, keep=["timestamp_evento"])
+    rejected = dlq_rows(validate(sent, keep=["timestamp_evento"]), ingested_at=F.col("timestamp_evento"))
+    return quality.dlq_summary(rejected)
+
+
+RELAXED = [name for name in REQUIRED_FIELDS if name not in REPLAY_OPTIONAL]
 
 
 @query("dlq_replay")
 def _dlq_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contacts after replaying stored rejects under a rule that no longer asks for queue and region."""
     store = _ingested(spark, sf_dir)
-    relaxed = [name for name in REQUIRED_FIELDS if name not in REPLAY_OPTIONAL]
-    replay_store(spark, store, relaxed)
+    replay_store(spark, store, RELAXED)
+    return tables.read_contacts(spark, store.contacts).select(*CONTACT_COLUMNS)
+
+
+@query("dlq_replay_twice")
+def _dlq_replay_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after a further replay under the strict rules, which takes nothing back."""
+    store = _ingested(spark, sf_dir)
+    replay_store(spark, store, RELAXED)
+    replay_store(spark, store)
     return tables.read_contacts(spark, store.contacts).select(*CONTACT_COLUMNS)
 
 
@@ -187,6 +239,12 @@ def _mix_vs_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.mix_vs_plan(contacts(spark, sf_dir), plan, "canal")
 
 
+@query("mix_vs_plan_queue")
+def _mix_vs_plan_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = literal_rows(spark, QUEUE_PLAN, "cola string, peso double")
+    return quality.mix_vs_plan(contacts(spark, sf_dir), plan, "cola")
+
+
 over_contacts("demand_curve", quality.demand_curve)
 over_contacts("sla_breach", lambda rows: kpis.sla_breach(kpis.kpis_by_queue(rows)))
 
@@ -226,7 +284,8 @@ def _load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "partitioned")
     tables.write_contacts(contacts(spark, sf_dir), path)
-    return filters.apply_filters(tables.read_contacts(spark, path), filters.last_n_days(AS_OF, 7))
+    week = filters.last_n_days(AS_OF, 7)
+    return filters.apply_filters(tables.read_contacts(spark, path, week.start, week.end), week)
 
 
 @query("create_tables")
@@ -236,7 +295,8 @@ def _create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = tables.create_tables(spark, store, database)
     _ingested(spark, sf_dir, store)
     tables.create_tables(spark, store, database)
-    tables.refresh_tables(spark, database)
+    for load in tables.logged_loads(spark, store):
+        tables.register_load(spark, store, load, database)
     return spark.sql(
         " UNION ALL ".join(f"SELECT '{n.split('.')[1]}' AS tabla, count(*) AS filas FROM {n}" for n in names)
     )
@@ -275,5 +335,5 @@ def _live_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "live")
     stream = live_kpis(contact_stream(spark, sf_dir))
     start_live(stream, f"{path}/windows", f"{path}/checkpoint", drain=True).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/windows")
+    return read_live(spark, f"{path}/windows", stream.schema)
 
