@@ -4,7 +4,7 @@ import pytest
 
 from tests.samples import SERVED, abandoned, contact_rows, event
 from tidedesk.operators.quality import demand_curve, dlq_summary, mix_vs_plan, quality_audit
-from tidedesk.schema import channel_catalogue, hourly_catalogue, literal_rows, queue_catalogue, region_catalogue
+from tidedesk.schema import channel_catalogue, hourly_catalogue, literal_rows, queue_catalogue
 
 
 def audit(spark, *events):
@@ -92,5 +92,4 @@ def test_demand_curve_has_every_hour(spark):
 def test_catalogues(spark):
     assert channel_catalogue(spark).agg({"peso": "sum"}).collect()[0][0] == pytest.approx(1.0)
     assert queue_catalogue(spark).agg({"peso": "sum"}).collect()[0][0] == pytest.approx(1.0)
-    assert region_catalogue(spark).count() == 7
     assert hourly_catalogue(spark).agg({"factor": "max"}).collect()[0][0] == 1.0

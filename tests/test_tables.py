@@ -176,7 +176,7 @@ def test_create_tables_twice(spark, tmp_path):
     register_load(spark, store, "b-0", "twice")
     assert [spark.table(n).count() for n in names] == [800, 200]
     fields = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {names[0]}").collect()}
-    assert fields["csat"] == "1-5; NULL if abandoned or not answered"
+    assert fields["csat"] == "Survey mark, 1 to 5; unset without an answer"
 
 
 def test_work_dir_lies_in_the_shared_folder(spark):

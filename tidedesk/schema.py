@@ -9,19 +9,19 @@ from pyspark.sql import types as T
 # --- Fixed values: column names, types, order and meaning are part of the data contract ----------
 CONTACT_SCHEMA = T.StructType(
     [
-        T.StructField("contact_id", T.StringType(), False, {"comment": "UUID of the contact"}),
-        T.StructField("timestamp_evento", T.TimestampType(), False, {"comment": "Event instant, always UTC"}),
-        T.StructField("canal", T.StringType(), False, {"comment": "voz | chat | app | correo"}),
-        T.StructField("cola", T.StringType(), False, {"comment": "Contact reason"}),
-        T.StructField("region", T.StringType(), False, {"comment": "Region of origin"}),
-        T.StructField("tiempo_espera_seg", T.DoubleType(), False, {"comment": "Seconds waited in the queue"}),
-        T.StructField("abandonado", T.BooleanType(), False, {"comment": "Hung up before being served"}),
-        T.StructField("dentro_sla", T.BooleanType(), False, {"comment": "Served within the threshold"}),
-        T.StructField("agente_id", T.StringType(), True, {"comment": "AG-NNN; NULL if abandoned"}),
-        T.StructField("tiempo_atencion_seg", T.LongType(), True, {"comment": "Handle time, s; NULL if abandoned"}),
-        T.StructField("resuelto_primer_contacto", T.BooleanType(), True, {"comment": "NULL if abandoned"}),
-        T.StructField("csat", T.LongType(), True, {"comment": "1-5; NULL if abandoned or not answered"}),
-        T.StructField("orden_asociada", T.StringType(), True, {"comment": "ORD-NNNNNN; NULL if none"}),
+        T.StructField("contact_id", T.StringType(), False, {"comment": "Identifies one contact"}),
+        T.StructField("timestamp_evento", T.TimestampType(), False, {"comment": "When it happened (UTC)"}),
+        T.StructField("canal", T.StringType(), False, {"comment": "Channel it came through"}),
+        T.StructField("cola", T.StringType(), False, {"comment": "Queue that took it"}),
+        T.StructField("region", T.StringType(), False, {"comment": "Where the customer is"}),
+        T.StructField("tiempo_espera_seg", T.DoubleType(), False, {"comment": "Wait until service or hang-up (s)"}),
+        T.StructField("abandonado", T.BooleanType(), False, {"comment": "True if nobody served it"}),
+        T.StructField("dentro_sla", T.BooleanType(), False, {"comment": "True if served in time"}),
+        T.StructField("agente_id", T.StringType(), True, {"comment": "Who served it; unset without service"}),
+        T.StructField("tiempo_atencion_seg", T.LongType(), True, {"comment": "Length of service (s); unset without service"}),
+        T.StructField("resuelto_primer_contacto", T.BooleanType(), True, {"comment": "Settled at once; unset without service"}),
+        T.StructField("csat", T.LongType(), True, {"comment": "Survey mark, 1 to 5; unset without an answer"}),
+        T.StructField("orden_asociada", T.StringType(), True, {"comment": "Order it was about, if any"}),
     ]
 )
 
@@ -111,9 +111,5 @@ def queue_catalogue(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, QUEUES, "cola string, peso double")
 
 
-def region_catalogue(spark: SparkSession) -> DataFrame:
-    return literal_rows(spark, [(r,) for r in REGIONS], "region string")
-
-
 def hourly_catalogue(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, list(enumerate(HOURLY_FACTOR)), "hora bigint, factor double")

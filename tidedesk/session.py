@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,20 +42,19 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"session time zone is {zone!r}; call pin_utc(spark) first")
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
+def work_dir(spark: SparkSession, label: str, base: str | None = None) -> str:
     """A fresh folder for intermediate tables and stream checkpoints.
 
-    It lies in the folder that ``spark.checkpoint.dir`` names, which every executor must reach.
-    Only a local master, where driver and executors share one disk, may do without that setting.
+    It lies in ``base``, or in the folder that ``spark.checkpoint.dir`` names, which every executor must
+    reach. All of a session's folders share one that bears the day and the application's id, so that
+    they can be expired together.
     """
     context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    base = base or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tidedesk-")
-        context.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tidedesk/{label}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    run = f"{date.today():%Y%m%d}-{context.applicationId}"
+    return f"{base.rstrip('/')}/tidedesk/{run}/{label}-{uuid.uuid4().hex}"
 
 
 def scan_bytes(table: DataFrame) -> int:

@@ -17,11 +17,12 @@ from tidedesk.plans.refresh import refresh_dashboard
 from tidedesk.plans.replay import replay_store
 from tidedesk.plans.views import register_views
 from tidedesk.schema import CONTACT_COLUMNS, REQUIRED_FIELDS, literal_rows
-from tidedesk.session import pin_utc, work_dir
+from tidedesk.session import pin_utc
 from tidedesk.sources import messages, tables
 from tidedesk.sources.tables import ContactStore
 from tidedesk.streaming.ingest import start_ingest
 from tidedesk.streaming.live import live_kpis, read_live, start_live, window_batches
+from tidedesk_checks.folders import work_dir
 from tidedesk_checks.projection import contact_stream, contacts, payloads
 
 # --- Fixed values: parameters shared with the SQL in oracle.py ----------------------------------------
