@@ -38,7 +38,7 @@ BLOCK_BYTES = 12 * 1024 * 1024
 #: Bytes that a map task gathers before it sends.
 SEND_BYTES = 8 * 1024 * 1024
 #: Characters that are suffix-sorted together, about; a seed's variants are never parted.
-SORT_CHARS = 1 << 17
+SORT_CHARS = 1 << 14
 #: Bits of a seed's hash that are compared inside a shard. Seeds that agree by chance cost work, not exactness.
 LOW = np.uint64(0xFFFFFFFF)
 
