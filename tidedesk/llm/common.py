@@ -23,7 +23,8 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidedesk-llm-")
     return f"{base.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
