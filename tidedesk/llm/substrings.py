@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +50,11 @@ HEARD = pa.schema(
 HEARD_DDL = "shard long, block long, ids binary, known binary, lows binary, blocks binary, counts binary"
 IDS = pa.schema([("block", pa.int64()), ("ids", pa.binary())])
 IDS_DDL = "block long, ids binary"
+#: Rows of one block from one map task, packed: ids, whether id and text are there, sizes and bytes of the texts.
+PACKED = pa.schema(
+    [("block", pa.int64()), ("ids", pa.binary()), ("known", pa.binary()), ("sizes", pa.binary()), ("texts", pa.binary())]
+)
+PACKED_DDL = "block long, ids binary, known binary, sizes binary, texts binary"
 SENT = pa.schema(
     [("shard", pa.int64()), ("block", pa.int64()), ("variants", pa.binary()), ("sizes", pa.binary()), ("rels", pa.binary()),
      ("docs", pa.binary()), ("rows", pa.binary()), ("firsts", pa.binary())]
@@ -56,6 +62,14 @@ SENT = pa.schema(
 SENT_DDL = "shard long, block long, variants binary, sizes binary, rels binary, docs binary, rows binary, firsts binary"
 
 
+def _packed(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def _slide(x: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours."""
     n = 1
@@ -200,12 +214,47 @@ def _repeated(heard: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_batch(IDS, out)] if out else [], schema=IDS)
 
 
-def _sorted_texts(docs: pa.Table) -> tuple[np.ndarray, list[bytes]]:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the same block packed together, as they are shuffled twice."""
+
+    def send(held: dict[int, list[tuple[int | None, bytes | None]]]) -> pa.RecordBatch:
+        out = []
+        for block, rows in held.items():
+            ids = np.array([d or 0 for d, _ in rows], np.int64)
+            known = np.array([(d is not None) + 2 * (t is not None) for d, t in rows], np.uint8)
+            sizes = np.array([len(t or b"") for _, t in rows], np.uint32)
+            texts = b"".join(t or b"" for _, t in rows)
+            out.append((block, *(_packed(x) for x in (ids.tobytes(), known.tobytes(), sizes.tobytes(), texts))))
+        return _batch(PACKED, out)
+
+    held: dict[int, list] = {}
+    size = 0
+    for batch in batches:
+        for block, doc, text in zip(*(batch.column(i) for i in range(3))):
+            text = text.as_py()
+            held.setdefault(block.as_py(), []).append((doc.as_py(), text))
+            size += len(text or b"")
+            if size >= SEND_BYTES:
+                yield send(held)
+                held, size = {}, 0
+    if held:
+        yield send(held)
+
+
+def _rows(docs: pa.Table) -> list[tuple[int | None, bytes | None]]:
+    out = []
+    for n in range(docs.num_rows):
+        ids, known, sizes, texts = (_unpacked(docs[c][n].as_py()) for c in ("ids", "known", "sizes", "texts"))
+        ends = np.cumsum(np.frombuffer(sizes, np.uint32), dtype=np.int64).tolist()
+        for doc, flags, a, b in zip(np.frombuffer(ids, np.int64).tolist(), known, [0, *ends], ends):
+            out.append((doc if flags & 1 else None, texts[a:b] if flags & 2 else None))
+    return out
+
+
+def _sorted_texts(rows: list[tuple[int | None, bytes | None]]) -> tuple[np.ndarray, list[bytes]]:
     """Ids and texts of a block in an order that both visits agree on."""
-    rows = sorted(
-        (d, t) for d, t in zip(docs["doc_id"].to_pylist(), docs["bytes"].to_pylist()) if d is not None and t is not None
-    )
-    return np.array([d for d, _ in rows], np.int64), [t for _, t in rows]
+    known = sorted((d, t) for d, t in rows if d is not None and t is not None)
+    return np.array([d for d, _ in known], np.int64), [t for _, t in known]
 
 
 def _merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -230,7 +279,7 @@ def _variants(shards: int):
         if not docs.num_rows or not told.num_rows:
             return pa.Table.from_batches([], schema=SENT)
         block = docs["block"][0].as_py()
-        ids, texts = _sorted_texts(docs)
+        ids, texts = _sorted_texts(_rows(docs))
         owners = Owners(texts)
         repeated = np.isin(_ids(owners.hash, shards), np.unique(_numbers(told["ids"], np.uint64)))
         which = np.nonzero(repeated)[0]
@@ -252,8 +301,9 @@ def _variants(shards: int):
         for s, found in sent.items():
             pieces, rels, owner, at = zip(*found)
             out.append(
-                (s, block, b"".join(pieces), np.array([len(p) for p in pieces], np.uint32).tobytes(), np.array(rels, np.uint8).tobytes(),
-                 ids[list(owner)].tobytes(), np.array(owner, np.int64).tobytes(), np.array(at, np.int64).tobytes())
+                (s, block, _packed(b"".join(pieces)), _packed(np.array([len(p) for p in pieces], np.uint32).tobytes()),
+                 _packed(np.array(rels, np.uint8).tobytes()),
+                 *(_packed(np.array(x, np.int64).tobytes()) for x in (ids[list(owner)], owner, at)))
             )
         if settled:
             gone = rows[settled]
@@ -292,12 +342,12 @@ def _decide(sent: pa.Table) -> pa.Table:
         if not len(sent["sizes"][n].as_py()):
             out.append((sent["block"][n].as_py(), sent["rows"][n].as_py()))
             continue
-        sizes = np.frombuffer(sent["sizes"][n].as_py(), np.uint32)
-        data, ends = sent["variants"][n].as_py(), np.cumsum(sizes).tolist()
+        sizes = np.frombuffer(_unpacked(sent["sizes"][n].as_py()), np.uint32)
+        data, ends = _unpacked(sent["variants"][n].as_py()), np.cumsum(sizes).tolist()
         pieces += [data[a:b] for a, b in zip([0, *ends], ends)]
-        rels += list(sent["rels"][n].as_py())
+        rels += list(_unpacked(sent["rels"][n].as_py()))
         for into, name in ((docs, "docs"), (rows, "rows"), (firsts, "firsts")):
-            into += np.frombuffer(sent[name][n].as_py(), np.int64).tolist()
+            into += np.frombuffer(_unpacked(sent[name][n].as_py()), np.int64).tolist()
         blocks += [sent["block"][n].as_py()] * len(sizes)
     least: dict[tuple[int, bytes], int] = {}
     for key in zip(rels, pieces, docs):
@@ -351,7 +401,8 @@ def _remove(with_bytes: bool):
     """Step 4: every row of a block without its removed bytes."""
 
     def run(docs: pa.Table, told: pa.Table) -> pa.Table:
-        ids, texts = _sorted_texts(docs)
+        all_rows = _rows(docs)
+        ids, texts = _sorted_texts(all_rows)
         spans = np.frombuffer(b"".join(told["ids"].to_pylist()), np.int64).reshape(-1, 3)
         spans = _merged(*spans.T)
         of: dict[int, list[tuple[int, int]]] = {}
@@ -359,7 +410,7 @@ def _remove(with_bytes: bool):
             of.setdefault(row, []).append((start, end))
         # Rows without an id or a text come last; nothing is removed from them.
         rows = list(zip(ids.tolist(), texts))
-        rows += [(d, t or b"") for d, t in zip(docs["doc_id"].to_pylist(), docs["bytes"].to_pylist()) if d is None or t is None]
+        rows += [(d, t or b"") for d, t in all_rows if d is None or t is None]
         out = []
         for row, (doc, text) in enumerate(rows):
             cut = of.get(row, [])
@@ -390,9 +441,10 @@ def remove_repeats(docs: DataFrame, with_bytes: bool = True) -> DataFrame:
     placed = rows.where("doc_id is not null and bytes is not null")
     heard = placed.select("doc_id", "block", "bytes").mapInArrow(_announce(shards), HEARD_DDL)
     told = stored(heard.groupBy("shard").applyInArrow(_repeated, IDS_DDL), "repeated_seeds")
-    sent = rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_variants(shards), SENT_DDL)
+    packed = rows.select("block", "doc_id", "bytes").mapInArrow(_pack, PACKED_DDL)
+    sent = packed.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_variants(shards), SENT_DDL)
     gone = stored(sent.groupBy("shard").applyInArrow(_decide, IDS_DDL), "repeats")
-    return rows.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(_remove(with_bytes), RESULT_DDL)
+    return packed.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(_remove(with_bytes), RESULT_DDL)
 
 
 # Workers get these functions by value, so they need no copy of this package.
