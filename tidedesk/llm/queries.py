@@ -37,7 +37,8 @@ def op8_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), {"doc_id": F.col("doc_id")})
+    items, keys = table(spark, sf_dir, "benchmark"), {"doc_id": F.col("doc_id")}
+    return overlaps(table(spark, sf_dir, "documents"), items, keys, short_items=True)
 
 
 def op10_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
