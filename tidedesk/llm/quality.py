@@ -1,8 +1,10 @@
 """Quality rules: fixed rules on text statistics, then robust multivariate outliers per language and source.
 
 The minimum covariance determinant picks, in every (language, source) group, the ``SUPPORT`` share of rows
-whose covariance is tightest: from a start at the medians and interquartile ranges, concentration steps
-alternate between the Mahalanobis distances of all rows and the mean and covariance of the nearest ones.
+whose covariance is tightest: from two starts at the medians, with interquartile ranges alone and with the
+correlations of bounded scores, concentration steps alternate between the Mahalanobis distances of all rows
+and the mean and covariance of the nearest ones until the determinant no longer falls; the start with the
+lesser determinant counts. Small groups are judged by the estimate of their language, or else of all rows.
 Rows whose final distance exceeds a chi-square cutoff are rejected. Everything is DataFrame expressions;
 every row of a group enters each step, as partial sums and quantile sketches made before the shuffle.
 """
@@ -10,6 +12,7 @@ every row of a group enters each step, as partial sums and quantile sketches mad
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +22,9 @@ from tidedesk.llm.common import SPACES, stored
 MIN_WORDS = 50
 #: Share of a group that the estimate rests on.
 SUPPORT = 0.75
-CONCENTRATION_STEPS = 3
-#: Groups with fewer rows that pass the fixed rules get no estimate; their rows stay.
+#: A group's steps end when the logarithm of its determinant falls by less.
+LEAST_FALL = 0.005
+#: Groups with fewer rows that pass the fixed rules take the estimate of their language, or else of all rows.
 MIN_GROUP_ROWS = 40
 #: Relative error of the rank in the quantile sketches is 1 / QUANTILE_ACCURACY.
 QUANTILE_ACCURACY = 10_000
@@ -39,6 +43,8 @@ FEATURES = {
     "repeats": 0.1,  # share of words in repeated 3-word windows
 }
 NAMES = list(FEATURES)
+#: Name of the group of all rows; those of languages start with "lang", of languages and sources with "=" or "null".
+ALL = "all"
 PAIRS = [(i, j) for i in range(len(NAMES)) for j in range(i + 1)]
 
 
@@ -138,39 +144,52 @@ def _factor(estimate: DataFrame) -> DataFrame:
     return estimate
 
 
-def _kept_columns(extra: list[str] = ()) -> list[str]:
-    return ["grp", *[f"m{i}" for i in range(len(NAMES))], *[f"l{i}{j}" for i, j in PAIRS], *extra]
+ESTIMATE = ["grp", "start", *[f"m{i}" for i in range(len(NAMES))], *[f"l{i}{j}" for i, j in PAIRS]]
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians and interquartile ranges of each group, as a diagonal estimate."""
+def _log_determinant() -> Column:
+    return sum(2 * F.log(f"l{i}{i}") for i in range(len(NAMES)))
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """Two estimates of each group at its medians: its interquartile ranges, and these with correlations of bounded scores."""
     quartiles = rows.groupBy("grp").agg(
-        F.count("*").alias("n"),
         *[F.percentile_approx(name, [0.25, 0.5, 0.75], QUANTILE_ACCURACY).alias(f"q{i}") for i, name in enumerate(NAMES)],
     )
-    columns = [F.col("grp")]
-    for i, name in enumerate(NAMES):
-        q = F.col(f"q{i}")
-        columns.append(q[1].alias(f"m{i}"))
+    columns = [F.col("grp"), F.lit(0).alias("start")]
+    for i in range(len(NAMES)):
+        columns.append(F.col(f"q{i}")[1].alias(f"m{i}"))
     for i, j in PAIRS:
         q = F.col(f"q{i}")
         spread = F.greatest((q[2] - q[0]) / 1.349, F.lit(FEATURES[NAMES[i]]))
         columns.append((spread if i == j else F.lit(0.0)).alias(f"l{i}{j}"))
-    return quartiles.where(F.col("n") >= MIN_GROUP_ROWS).select(columns)
+    plain = stored(quartiles.select(columns), "mcd_start")
+    score = [F.tanh((F.col(name) - F.col(f"m{i}")) / F.col(f"l{i}{i}")) for i, name in enumerate(NAMES)]
+    scores = rows.join(plain, "grp").select("grp", *[z.alias(f"z{i}") for i, z in enumerate(score)])
+    related = scores.groupBy("grp").agg(*[F.covar_pop(f"z{i}", f"z{j}").alias(f"v{i}{j}") for i, j in PAIRS])
+    both = plain.join(related, "grp")
+    # Below 1, so that the factor exists; undefined where a score is constant.
+    covariance = []
+    for i, j in PAIRS:
+        spread = F.sqrt(F.greatest(F.col(f"v{i}{i}"), F.lit(0.0)) * F.greatest(F.col(f"v{j}{j}"), F.lit(0.0)))
+        r = F.when(spread > 0, F.col(f"v{i}{j}") / F.nullif(spread, F.lit(0.0))).otherwise(0.0) * 0.95 if i != j else F.lit(1.0)
+        covariance.append((F.col(f"l{i}{i}") * F.col(f"l{j}{j}") * r).alias(f"c{i}{j}"))
+    related = _factor(both.select("grp", F.lit(1).alias("start"), *[f"m{i}" for i in range(len(NAMES))], *covariance))
+    return plain.select(ESTIMATE).union(related.select(ESTIMATE))
 
 
 def _concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """Mean and covariance of the ``SUPPORT`` share of each group nearest to ``estimate``."""
+    """Mean and covariance of the ``SUPPORT`` share of each group nearest to ``estimate``, for each start."""
     near = stored(
         _squared_distance(rows.join(estimate, "grp"))
-        .groupBy("grp")
+        .groupBy("grp", "start")
         .agg(F.percentile_approx("d2", SUPPORT, QUANTILE_ACCURACY).alias("reach")),
         "mcd_reach",
     )
-    inside = _squared_distance(rows.join(estimate.join(near, "grp"), "grp")).where("d2 <= reach")
+    inside = _squared_distance(rows.join(estimate.join(near, ["grp", "start"]), "grp")).where("d2 <= reach")
     # Sums are of deviations from the present centre, so nothing cancels.
     delta = {i: F.col(name) - F.col(f"m{i}") for i, name in enumerate(NAMES)}
-    sums = inside.groupBy("grp").agg(
+    sums = inside.groupBy("grp", "start").agg(
         *[F.avg(delta[i]).alias(f"d{i}") for i in delta],
         *[F.first(f"m{i}").alias(f"m{i}") for i in delta],
         *[F.avg(delta[i] * delta[j]).alias(f"s{i}{j}") for i, j in PAIRS],
@@ -183,8 +202,42 @@ def _concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         ).alias(f"c{i}{j}")
         for i, j in PAIRS
     ]
-    moved = sums.select("grp", *[(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in delta], *covariance)
-    return _factor(moved).select(_kept_columns())
+    moved = sums.select("grp", "start", *[(F.col(f"m{i}") + F.col(f"d{i}")).alias(f"m{i}") for i in delta], *covariance)
+    return _factor(moved).select(ESTIMATE)
+
+
+def _least_determinant(rows: DataFrame) -> DataFrame:
+    """The estimate of each group where concentration steps from every start have ended."""
+    moving = stored(_concentrate(rows, stored(_starts(rows), "mcd")), "mcd")
+    ended = []
+    # The covariance has a least scale and each round but the last falls by a least amount, so the rounds end.
+    while not moving.isEmpty():
+        before = moving.select("grp", "start", _log_determinant().alias("before"))
+        moved = _concentrate(rows, moving).withColumn("after", _log_determinant()).join(before, ["grp", "start"])
+        moved = stored(moved.withColumn("falls", F.col("before") - F.col("after") >= LEAST_FALL), "mcd")
+        last = moving.join(moved.where("not falls").select("grp", "start"), ["grp", "start"])
+        ended.append(last.select(ESTIMATE))
+        moving = moved.where("falls").select(ESTIMATE)
+    if not ended:
+        return moving.drop("start")
+    found = reduce(DataFrame.unionByName, ended).withColumn("order", F.struct(_log_determinant().alias("d"), "start"))
+    best = found.groupBy("grp").agg(F.min_by(F.struct(ESTIMATE[2:]), "order").alias("e"))
+    return stored(best.select("grp", "e.*"), "mcd_best")
+
+
+def _judges(fit: DataFrame) -> DataFrame:
+    """For each ``grp`` the group whose estimate judges it (``judge``) and those whose estimates its rows enter (``fits``)."""
+    sizes = stored(fit.groupBy("grp", "tongue").agg(F.count("*").alias("n")), "group_sizes")
+    tongues = sizes.groupBy("tongue").agg(
+        F.sum("n").alias("of_tongue"), F.bool_or(F.col("n") < MIN_GROUP_ROWS).alias("some_small")
+    )
+    tongues = stored(tongues, "language_sizes")
+    use_all = bool(tongues.agg(F.bool_or(F.col("of_tongue") < MIN_GROUP_ROWS).alias("x")).first()["x"])
+    large, known = F.col("n") >= MIN_GROUP_ROWS, F.col("of_tongue") >= MIN_GROUP_ROWS
+    entered = [F.when(large, F.col("grp")), F.when(known & F.col("some_small"), F.col("tongue")), F.when(F.lit(use_all), F.lit(ALL))]
+    judge = F.when(large, F.col("grp")).when(known, F.col("tongue")).otherwise(F.lit(ALL))
+    judges = sizes.join(tongues, "tongue").select("grp", judge.alias("judge"), F.array_compact(F.array(*entered)).alias("fits"))
+    return stored(judges, "judges")
 
 
 def quality_rules(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -192,22 +245,25 @@ def quality_rules(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     A row fails the fixed rules with fewer than 50 words or with more than half of its words in repeated
     3-word windows. Of the others, ``distance`` is the squared Mahalanobis distance from the estimate of
-    its (``lang``, ``source``) group, NULL where the group is too small for one, and rows beyond
-    ``CUTOFF`` are not kept. NULL text is empty text; NULL ``lang`` or ``source`` is a group like any
+    its (``lang``, ``source``) group, of its language where that group is small, of all rows where the language
+    is, and rows beyond ``CUTOFF`` are not kept; a row that fails has none. NULL text is empty text; NULL ``lang`` or ``source`` is a group like any
     other. Repeated rows count each time. Columns of ``docs`` outside ``keep`` are ignored, whatever
     their names; an empty table gives an empty result.
     """
-    group = F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")) for c in ("lang", "source")])
+    named = {c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")) for c in ("lang", "source")}
     stats = docs.select(
-        F.struct(*[F.col(c) for c in keep]).alias("row"), group.alias("grp"), text_statistics(F.col("text")).alias("s")
-    ).select("row", "grp", "s.*")
+        F.struct(*[F.col(c) for c in keep]).alias("row"),
+        F.concat_ws("|", *named.values()).alias("grp"),
+        F.concat(F.lit("lang"), named["lang"]).alias("tongue"),
+        text_statistics(F.col("text")).alias("s"),
+    ).select("row", "grp", "tongue", "s.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rows = stored(stats.withColumns({**_features(stats), "base_failed": failed}), "statistics")
-    fit = rows.where("not base_failed").select("grp", *NAMES)
-    estimate = stored(_start(fit), "mcd")
-    for _ in range(CONCENTRATION_STEPS):
-        estimate = stored(_concentrate(fit, estimate), "mcd")
-    judged = _squared_distance(rows.join(estimate, "grp", "left"))
+    fit = rows.where("not base_failed").select("grp", "tongue", *NAMES)
+    judges = _judges(fit)
+    entered = fit.join(judges.select("grp", "fits"), "grp").select(F.explode("fits").alias("grp"), *NAMES)
+    estimate = _least_determinant(stored(entered, "fit")).withColumnRenamed("grp", "judge")
+    judged = _squared_distance(rows.join(judges.select("grp", "judge"), "grp", "left").join(estimate, "judge", "left"))
     return judged.select(
         "row.*",
         "n_words",
