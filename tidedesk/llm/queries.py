@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from tidedesk.llm.common import table
 from tidedesk.llm.decontaminate import overlaps
 from tidedesk.llm.html import main_texts
+from tidedesk.llm.merkle import merkle_manifest
+from tidedesk.llm.minmax import near_copies
 from tidedesk.llm.mixing import mix_sources
+from tidedesk.llm.oracle import MERKLE, NEAR_COPIES, TRIE
 from tidedesk.llm.perplexity import perplexities
+from tidedesk.llm.prefix_trie import prefix_trie
 from tidedesk.llm.quality import quality_rules
 from tidedesk.llm.sharding import even_tree, shard_documents
 from tidedesk.llm.simhash import near_duplicates
@@ -66,6 +70,18 @@ def op5_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op11_min_max_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_segments": op1_warc_segments,
     "op2_factorization_machine": op2_factorization_machine,
@@ -77,5 +93,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_linear_grouping": op8_linear_grouping,
     "op9_spaced_seeds": op9_spaced_seeds,
     "op10_hash_tree": op10_hash_tree,
+    "op11_min_max_copies": op11_min_max_copies,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_merkle_manifest": op13_merkle_manifest,
+}
+LLM_ORACLE: dict[str, str] = {
+    "op11_min_max_copies": NEAR_COPIES,
+    "op12_prefix_trie": TRIE,
+    "op13_merkle_manifest": MERKLE,
 }
-LLM_ORACLE: dict[str, str] = {}
