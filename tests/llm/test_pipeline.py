@@ -73,7 +73,7 @@ def test_awkward_rows_and_empty_table(spark, tmp_path):
 
 def test_registered_and_guarded(tmp_path):
     names = set(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
     (tmp_path / "tidedesk_checks").symlink_to(ROOT / "tidedesk_checks")

@@ -153,3 +153,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, keys: dict[str, Column], sho
     # An item_id may stand for texts of several lengths.
     every = reduce(DataFrame.unionByName, found)
     return every.groupBy(*keys, "item_id").agg(F.max("matched_words").alias("matched_words"))
+
+
+def equals_short_item(docs: DataFrame, benchmark: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """``keys`` of each row of ``docs`` whose whole text has the words of a benchmark item of fewer than ``SHORT`` words.
+
+    Common words make up such an item, so a longer text that holds it is no copy of it. NULL and empty texts equal none.
+    """
+    def worded(rows: DataFrame, *kept: Column) -> DataFrame:
+        hashes = rows.select(*kept, _word_hashes(F.col("text")).alias("w"))
+        return hashes.where((F.size("w") > 0) & (F.size("w") < SHORT)).withColumn("whole", F.xxhash64("w"))
+
+    items = worded(benchmark).select("whole").distinct()
+    return worded(docs, *[c.alias(n) for n, c in keys.items()]).join(items, "whole", "left_semi").select(*keys)

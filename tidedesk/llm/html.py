@@ -40,8 +40,10 @@ TOKEN = re.compile(
 )
 ATTRIBUTES = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
-#: Elements whose content is no text of the page.
-RAW = set("script style title noscript template textarea iframe svg math select button object audio video canvas".split())
+#: Elements whose content is no text of the page. Left open, the first ones take all that follows, as in a browser; the
+#: others end at the next block element, so that a mistake of the page costs no text.
+RAW = set("script style title noscript template textarea iframe svg select button object audio video canvas".split())
+TO_THE_END = {"script", "style", "title", "textarea", "iframe"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -93,6 +95,38 @@ def _hints(attributes: str) -> tuple[int, int]:
     return len(tokens & MAIN_TOKENS), len(tokens & OTHER_TOKENS) + bool(HIDDEN.search(attributes))
 
 
+BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?=[\s/>])", re.I)
+
+
+def _behind(html: str, tag: str, at: int, empty: bool) -> int:
+    """Where the page goes on behind an element of ``RAW`` whose content begins ``at``; ``empty``: its tag ended in ``/>``."""
+    if tag == "svg" and empty:
+        return at
+    end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
+    if tag in TO_THE_END:
+        return end.end() if end else len(html)
+    if end and not re.compile(rf"<{tag}(?=[\s/>])", re.I).search(html, at, end.start()):
+        return end.end()
+    if end and tag in ("svg", "object", "template"):
+        return _nested_end(html, tag, at) or _next_block(html, at)
+    return _next_block(html, at)
+
+
+def _nested_end(html: str, tag: str, at: int) -> int | None:
+    """The end of an element that may hold others of its kind; None if it is left open."""
+    depth = 1
+    for found in re.compile(rf"<(/?){tag}(?=[\s/>])[^>]*?(/?)>", re.I).finditer(html, at):
+        depth += -1 if found[1] else not found[2]
+        if not depth:
+            return found.end()
+    return None
+
+
+def _next_block(html: str, at: int) -> int:
+    block = BLOCK_TAG.search(html, at)
+    return block.start() if block else len(html)
+
+
 def parse(html: str) -> Page:
     """Block elements and the text directly in them. Tags that are left open end where a parser would end them."""
     page, stack = Page(), [0]
@@ -140,8 +174,7 @@ def parse(html: str) -> Page:
             continue
         if tag in RAW:
             if not ending:
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
-                at = end.end() if end else len(html)
+                at = _behind(html, tag, at, match[0].endswith("/>"))
                 pieces.append(" ")
         elif tag == "a":
             in_link = not ending
@@ -352,14 +385,16 @@ def main_texts(pages: DataFrame) -> DataFrame:
     line feed. NULL and empty html give an empty text, and so do pages without any kept block. Repeated rows
     are rows of their own; other columns are ignored; an empty table gives an empty result.
     """
-    forest = pages.sparkSession.sparkContext.broadcast(train(pages))
+    fitted = train(pages)
+    # Arrays, not the class: a broadcast value is pickled by reference, and workers have no copy of this package.
+    parts = pages.sparkSession.sparkContext.broadcast(fitted and (fitted.base, fitted.feature, fitted.threshold, fitted.value))
 
     @pandas_udf(StringType())
     def extract(html: pd.Series) -> pd.Series:
         parsed = [parse(h or "") for h in html]
         rows = [features(p) for p in parsed]
         every = np.concatenate(rows) if rows else np.zeros((0, FEATURES), np.float32)
-        margins = forest.value.margins(every) if forest.value else hint_margins(every)
+        margins = Forest(*parts.value).margins(every) if parts.value else hint_margins(every)
         ends = np.cumsum([len(r) for r in rows])[:-1] if rows else []
         return pd.Series([decode(p, m) for p, m in zip(parsed, np.split(margins, ends))], dtype=object)
 

@@ -30,8 +30,10 @@ LINK_BITS = 3
 SEED = 42
 #: Fingerprints at home in a shard, about.
 SHARD_PRINTS = 16_384
-#: Sampled fingerprints for each shard; together they are all the driver ever holds.
+#: Sampled fingerprints for each shard; together they are all the driver ever holds, at most ``32 << MAX_LEVELS``.
 SAMPLE_PER_SHARD = 32
+#: Levels of the upper tree at most. Beyond 67 million fingerprints shards grow instead, and split in their own trees.
+MAX_LEVELS = 12
 #: Members of a leaf of a shard's tree, which are compared with every visitor one by one.
 LEAF = 64
 #: Shingles, or fingerprints, that are handled at a time.
@@ -201,7 +203,7 @@ def print_links(distinct: DataFrame) -> DataFrame:
     """Edges (``a``, ``b``) whose components are those of all pairs of ``distinct.fp`` at ``LINK_BITS`` or fewer bits."""
     spark = distinct.sparkSession
     n = distinct.count()
-    levels = max(0, int(np.ceil(np.log2(max(1, n) / SHARD_PRINTS))))
+    levels = min(MAX_LEVELS, max(0, int(np.ceil(np.log2(max(1, n) / SHARD_PRINTS)))))
     sample = distinct.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE_PER_SHARD << levels).collect()
     if not sample:
         return spark.createDataFrame([], "a long, b long")
@@ -226,15 +228,33 @@ def near_duplicates(docs: DataFrame, keep: list[str]) -> DataFrame:
         ),
         "fingerprints",
     )
+    classes = _classes(rows)
+    return rows.join(classes, "fp").select("row.*", "fp", "component_id")
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """``fp`` with its ``component_id`` and the ``label`` of its component, for ``rows`` (``own_id``, ``fp``)."""
     distinct = stored(rows.groupBy("fp").agg(F.min("own_id").alias("least")), "prints")
     labels = connected_components(stored(print_links(distinct), "print_links"))
     labelled = stored(distinct.join(labels, F.col("fp") == F.col("node")).select("fp", "least", "label"), "labelled")
     least = stored(labelled.groupBy("label").agg(F.min("least").alias("linked_least")), "components")
-    joined = stored(labelled.join(least, "label").select("fp", "linked_least"), "linked")
-    classes = stored(
-        distinct.join(joined, "fp", "left").select("fp", F.coalesce("linked_least", "least").alias("component_id")), "classes"
-    )
-    return rows.join(classes, "fp").select("row.*", "fp", "component_id")
+    joined = stored(labelled.join(least, "label").select("fp", "linked_least", "label"), "linked")
+    found = F.coalesce("linked_least", "least").alias("component_id"), F.coalesce("label", "fp").alias("label")
+    return stored(distinct.join(joined, "fp", "left").select("fp", *found), "classes")
+
+
+def representatives(named: DataFrame) -> DataFrame:
+    """``k`` and ``j`` of one row for each component of ``named`` (``doc_id``, ``text``, ``k``, ``j``).
+
+    It is the row with the least ``doc_id``; NULL ids come last. Components that share an id are kept apart, and NULL,
+    empty and blank texts are linked like any other.
+    """
+    rows = named.select("k", "j", F.col("doc_id").alias("own_id"), fingerprints(F.col("text").cast("binary")).alias("fp"))
+    rows = stored(rows, "fingerprints")
+    row = F.struct(F.col("own_id").isNull().alias("nameless"), "own_id", "k", "j")
+    firsts = rows.groupBy("fp").agg(F.min(row).alias("row"))
+    chosen = firsts.join(_classes(rows), "fp").groupBy("label").agg(F.min("row").alias("row"))
+    return stored(chosen.select("row.k", "row.j"), "representatives")
 
 
 # Workers get these functions by value, so they need no copy of this package.

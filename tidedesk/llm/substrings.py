@@ -157,15 +157,21 @@ def _announce(shards: int):
         first = docs[rows[begins]]
         several = np.zeros(len(first), bool)
         several[group[docs[rows] != first[group]]] = True
-        distinct, block = hashes[begins], blocks[rows[begins]]
+        distinct = hashes[begins]
         shard, out = _shard_of(distinct, shards), []
-        by_shard = np.argsort(shard, kind="stable")
-        for part in np.split(by_shard, np.nonzero(np.diff(shard[by_shard]))[0] + 1):
-            one, many = part[~several[part]], part[several[part]]
-            one = one[np.argsort(block[one], kind="stable")]
-            low, to = (distinct & LOW).astype(np.uint32), np.unique(block[one], return_counts=True)
-            to = [x.astype(np.uint32).tobytes() for x in to]
-            out.append((int(shard[part[0]]), -1, b"", low[many].tobytes(), low[one].tobytes(), *to))
+        # Rows that repeat an id with another text may lie in other blocks: a seed is told for each of its blocks.
+        alone = ~several[group]
+        block, of = np.unique(np.stack((blocks[rows[alone]], group[alone]), axis=1), axis=0).T
+        dealt = np.argsort(shard[of], kind="stable")
+        block, of = block[dealt], of[dealt]
+        shared = np.nonzero(several)[0]
+        shared = shared[np.argsort(shard[shared], kind="stable")]
+        low = (distinct & LOW).astype(np.uint32)
+        for number in np.unique(shard).tolist():
+            one = slice(*np.searchsorted(shard[of], [number, number + 1]))
+            many = slice(*np.searchsorted(shard[shared], [number, number + 1]))
+            to = [x.astype(np.uint32).tobytes() for x in np.unique(block[one], return_counts=True)]
+            out.append((number, -1, b"", low[shared[many]].tobytes(), low[of[one]].tobytes(), *to))
         known = several[group]
         pairs = np.unique(np.stack((blocks[rows[known]].astype(np.uint64), _ids(hashes[known], shards)), axis=1), axis=0)
         for part in np.split(pairs, np.nonzero(np.diff(pairs[:, 0]))[0] + 1) if len(pairs) else []:

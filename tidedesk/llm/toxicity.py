@@ -186,11 +186,13 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     label of either kind the score is the share of label 1, or 0.5. Other columns are ignored; empty
     ``docs`` give an empty result.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    machine = train(docs, labels)
+    # Arrays, not the class: a broadcast value is pickled by reference, and workers have no copy of this package.
+    parts = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.weights, machine.vectors))
 
     @pandas_udf(DoubleType())
     def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.value.scores([terms(t) for t in texts]))
+        return pd.Series(Machine(*parts.value).scores([terms(t) for t in texts]))
 
     scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score(F.col("text").cast("binary")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
