@@ -1,4 +1,4 @@
-"""A training corpus from ``documents``: quality rules, near duplicates, benchmark leaks, mixture, shards.
+"""A training corpus from ``documents``: quality rules, SimHash near duplicates, benchmark leaks, mixture, shards.
 
 Each stage is a function of (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the last
 return the columns of ``documents``.
@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidedesk.llm.common import DOCUMENT_COLUMNS, stored, table
-from tidedesk.llm.decontaminate import overlaps
-from tidedesk.llm.minhash import representatives
+from tidedesk.llm.decontaminate import equals_short_item, overlaps
 from tidedesk.llm.mixing import mix_sources
 from tidedesk.llm.quality import quality_rules
 from tidedesk.llm.queries import MAX_REPETITION, SHARDS
 from tidedesk.llm.sharding import even_tree, shard_documents
+from tidedesk.llm.simhash import representatives
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,7 +28,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (Jaccard similarity of five-word shingles) the document with the least id."""
+    """Of each group of near copies (fingerprints of three-word shingles within 3 bits) the document with the least id."""
     # Two independent hashes name a row, so that texts move once: to be joined and, in the same place, made distinct.
     named = docs.select(
         *DOCUMENT_COLUMNS, F.xxhash64("doc_id", "text").alias("k"), F.xxhash64("text", F.lit("row"), "doc_id").alias("j")
@@ -38,10 +38,11 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
+    """Documents that overlap no benchmark item of nine words or more, and are none of a shorter one."""
     keys = {"doc_id": F.col("doc_id"), "text_hash": F.xxhash64("text")}
-    found = overlaps(docs, table(spark, sf_dir, "benchmark"), keys, short_items=True)
-    leaks = stored(found.select(*keys).distinct(), "leaks")
+    benchmark = table(spark, sf_dir, "benchmark")
+    found = overlaps(docs, benchmark, keys).select(*keys).union(equals_short_item(docs, benchmark, keys))
+    leaks = stored(found.distinct(), "leaks")
     leaks = leaks.select(F.col("doc_id").alias("leak_id"), F.col("text_hash").alias("leak_hash"))
     same = F.col("doc_id").eqNullSafe(F.col("leak_id")) & (F.xxhash64("text") == F.col("leak_hash"))
     return docs.join(leaks, same, "left_anti").select(DOCUMENT_COLUMNS)
@@ -59,7 +60,7 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", keep_quality),
-    ("near duplicates", keep_one_of_each_group),
+    ("SimHash near-dedup", keep_one_of_each_group),
     ("benchmark decontamination", drop_benchmark_leaks),
     ("mixing", mix),
     ("sharding", shard),
