@@ -1,0 +1,326 @@
+"""The commit log: all or nothing at every step, in whatever order jobs end or die."""
+
+import json
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.samples import contact_rows, event, message_rows
+from tidedesk.plans import replay
+from tidedesk.plans.replay import replay_store
+from tidedesk.plans.rollup import read_rollup, refresh_rollup
+from tidedesk.schema import REQUIRED_FIELDS
+from tidedesk.sources import commits, tables
+from tidedesk.sources.commits import Change, CommitLog, Folder, Part, State
+from tidedesk.sources.tables import (
+    ContactStore,
+    consolidate_days,
+    create_tables,
+    merge_load_log,
+    read_contacts,
+    read_dlq,
+    read_load_log,
+    sync_catalog,
+    vacuum,
+    write_contacts,
+)
+from tidedesk.streaming.ingest import ingest_rows, write_batch
+
+NO_QUEUE = [name for name in REQUIRED_FIELDS if name != "cola"]
+
+
+class Died(Exception):
+    pass
+
+
+def on_day(k, d, **changes):
+    return event(contact_id=f"c{k}", timestamp_evento=f"2026-01-{d:02d}T10:00:00+00:00", **changes)
+
+
+def messages(spark, n, bad=1, first=0):
+    good = [json.dumps(on_day(first + k, 1 + k % 3)) for k in range(n)]
+    return ingest_rows(message_rows(spark, *good, *[f"bad {first + k}" for k in range(bad)], json.dumps(on_day(900 + first, 1, cola=None))))
+
+
+@pytest.fixture
+def store(tmp_path):
+    return ContactStore(str(tmp_path / "store"))
+
+
+def seen(spark, store):
+    """What readers see of the store: ids, dead letters, logged loads."""
+    ids = sorted(r.contact_id for r in read_contacts(spark, store.contacts).collect())
+    letters = sorted(r.raw_payload for r in read_dlq(spark, store.dlq).collect())
+    return ids, letters, sorted((r.tabla, r.filas) for r in read_load_log(spark, store.load_log).collect())
+
+
+STEPS = ((tables, "_write"), (Folder, "move"), (CommitLog, "_put"), (tables, "drop_parts"), (CommitLog, "end"))
+
+
+def dying(monkeypatch, n):
+    """Makes the ``n``-th step die, half of the time before it is made and half of the time after."""
+    count = [0]
+
+    def wrap(owner, name):
+        real = getattr(owner, name)
+
+        def step(*args, **kwargs):
+            count[0] += 1
+            if count[0] == n and n % 2:
+                raise Died
+            out = real(*args, **kwargs)
+            if count[0] == n:
+                raise Died
+            return out
+
+        monkeypatch.setattr(owner, name, step)
+
+    for owner, name in STEPS:
+        wrap(owner, name)
+
+
+def every_death(spark, store, monkeypatch, job, after):
+    """Lets ``job`` die at each of its steps: readers see the state before or after; a repeated run brings that after."""
+    before, n, died = seen(spark, store), 0, True
+    while died:
+        n += 1
+        with monkeypatch.context() as patched:
+            dying(patched, n)
+            try:
+                job()
+                died = False
+            except Died:
+                pass
+        now = seen(spark, store)
+        assert now in (before, after), n
+        before = now
+    assert now == after
+    return n
+
+
+def test_a_batch_dies_at_any_step(spark, store, monkeypatch):
+    write_batch(messages(spark, 3), store, "b-0")
+    ids, letters, logged = seen(spark, store)
+    rows = messages(spark, 4, bad=2, first=100).persist()
+    after = (
+        sorted([*ids, *(f"c{100 + k}" for k in range(4))]),
+        sorted([*letters, "bad 100", "bad 101", *[r.raw_payload for r in rows.where("error IS NOT NULL").collect() if "c1000" in r.raw_payload]]),
+        sorted([*logged, ("contactos", 4), ("contactos_dlq", 3)]),
+    )
+    assert every_death(spark, store, monkeypatch, lambda: write_batch(rows, store, "b-1"), after) == 6
+
+
+def test_a_batch_that_stops_between_its_tables_is_not_seen(spark, store, monkeypatch):
+    write_batch(messages(spark, 3), store, "b-0")
+    before, real = seen(spark, store), tables._write
+
+    def only_contacts(rows, path, *args):
+        if path == store.dlq:
+            raise Died
+        real(rows, path, *args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "_write", only_contacts)
+        with pytest.raises(Died):
+            write_batch(messages(spark, 4, first=100), store, "b-1")
+    assert seen(spark, store) == before
+    write_batch(messages(spark, 4, first=100), store, "b-1")
+    assert len(seen(spark, store)[0]) == 7 and len(seen(spark, store)[1]) == 4
+
+
+def test_a_consolidation_dies_at_any_step(spark, store, monkeypatch):
+    for k in range(3):
+        write_batch(messages(spark, 3, first=10 * k), store, f"b-{k}")
+    whole = seen(spark, store)
+    # What readers see stays the same throughout, and loads become one.
+    every_death(spark, store, monkeypatch, lambda: consolidate_days(spark, store, date(2026, 1, 1), date(2026, 1, 3)), whole)
+    consolidate_days(spark, store, date(2026, 1, 1), date(2026, 1, 3))
+    assert seen(spark, store) == whole
+    assert len(store.log(spark).state().parts("contactos")) == 3
+
+
+def test_a_consolidation_cut_off_by_a_refresh_changes_nothing(spark, store, monkeypatch):
+    write_contacts(contact_rows(spark, on_day(1, 1)), store.contacts)
+    write_contacts(contact_rows(spark, on_day(2, 1)), store.contacts)
+    real = tables.stage_load
+
+    def refreshed_meanwhile(rows, *args, **kwargs):
+        parts = real(rows, *args, **kwargs)
+        with monkeypatch.context() as patched:
+            patched.setattr(tables, "stage_load", real)
+            write_contacts(contact_rows(spark, on_day(3, 1)), store.contacts, mode="overwrite")
+        return parts
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "stage_load", refreshed_meanwhile)
+        consolidate_days(spark, store, date(2026, 1, 1), date(2026, 1, 1))
+    assert [r.contact_id for r in read_contacts(spark, store.contacts).collect()] == ["c3"]
+    assert len(Folder(spark, store.contacts).matching("fecha=*/lote=*")) == 1
+
+
+def test_a_refresh_dies_at_any_step(spark, store, monkeypatch):
+    write_batch(messages(spark, 3), store, "b-0")
+    _, letters, logged = seen(spark, store)
+    rows = contact_rows(spark, *[on_day(50 + k, 2 + k % 2) for k in range(4)])
+    after = ([f"c{50 + k}" for k in range(4)], letters, logged)
+    every_death(spark, store, monkeypatch, lambda: write_contacts(rows, store.contacts, mode="overwrite"), after)
+
+
+def test_a_replay_dies_at_any_step(spark, store, monkeypatch):
+    write_batch(messages(spark, 2), store, "b-0")
+    ids, letters, logged = seen(spark, store)
+    every_death(spark, store, monkeypatch, lambda: replay_store(spark, store, NO_QUEUE), (sorted([*ids, "c900"]), letters, logged))
+    consolidate_days(spark, store, date(2026, 1, 1), date(2026, 1, 3))
+    replay_store(spark, store, NO_QUEUE)
+    assert seen(spark, store)[0] == sorted([*ids, "c900"])
+
+
+def test_two_replays_at_a_time_repair_once(spark, store, monkeypatch):
+    write_batch(messages(spark, 2), store, "b-0")
+    real, runs = replay.stage_load, [0]
+
+    def another_first(rows, path, *args, **kwargs):
+        runs[0] += 1
+        if runs[0] == 1:
+            replay_store(spark, store, NO_QUEUE)
+        return real(rows, path, *args, **kwargs)
+
+    monkeypatch.setattr(replay, "stage_load", another_first)
+    replay_store(spark, store, NO_QUEUE)
+    assert seen(spark, store)[0].count("c900") == 1
+
+
+def test_the_marks_of_other_days_are_not_read(spark, store, monkeypatch):
+    write_batch(messages(spark, 2), store, "b-0")
+    replay_store(spark, store, NO_QUEUE)
+    old = Part("reprocesados", "ingested_date=2001-01-01", "lote=gone", "gone")
+    store.log(spark).commit(lambda state: Change([old]))  # would fail if it were opened
+    (today,) = {r.ingested_date for r in read_dlq(spark, store.dlq).collect()}
+    replay_store(spark, store, NO_QUEUE, today, today)
+    assert seen(spark, store)[0].count("c900") == 1
+
+
+def test_merging_the_load_log_leaves_one_file_a_day(spark, store, monkeypatch):
+    for k in range(3):
+        write_batch(messages(spark, 2, first=10 * k), store, f"b-{k}")
+    whole = seen(spark, store)
+    tomorrow = date.today() + timedelta(days=2)
+    every_death(spark, store, monkeypatch, lambda: merge_load_log(spark, store, tomorrow), whole)
+    merge_load_log(spark, store, tomorrow)
+    assert seen(spark, store) == whole
+    (part,) = store.log(spark).state().parts("cargas")
+    assert len(Folder(spark, f"{store.load_log}/{part.day}/{part.name}").matching("part-*")) == 1
+    write_batch(messages(spark, 2, first=50), store, "b-3")
+    assert len(seen(spark, store)[2]) == len(whole[2]) + 2
+
+
+def test_a_batch_looks_into_no_day(spark, store, monkeypatch):
+    write_batch(messages(spark, 3), store, "b-0")
+    asked = []
+    real = Folder.matching
+    monkeypatch.setattr(Folder, "matching", lambda self, pattern: asked.append(pattern) or real(self, pattern))
+    write_batch(messages(spark, 3, first=10), store, "b-1")
+    write_batch(messages(spark, 2, first=10), store, "b-1")
+    assert asked == []
+    assert len(seen(spark, store)[0]) == 5
+
+
+def test_a_store_without_a_log_is_taken_over(spark, store):
+    write_batch(messages(spark, 3), store, "b-0")
+    write_contacts(contact_rows(spark, on_day(70, 1)), store.contacts)
+    whole = seen(spark, store)
+    log = Folder(spark, store.root)
+    log.delete(log.matching("_commits"))
+    assert seen(spark, store) == whole
+    write_contacts(contact_rows(spark, on_day(71, 1)), store.contacts)
+    assert seen(spark, store)[0] == sorted([*whole[0], "c71"]) and seen(spark, store)[1:] == whole[1:]
+
+
+def test_vacuum_removes_what_is_not_live(spark, store, monkeypatch):
+    write_batch(messages(spark, 3), store, "b-0")
+    with monkeypatch.context() as patched:
+        patched.setattr(CommitLog, "commit", lambda *args: (_ for _ in ()).throw(Died()))
+        with pytest.raises(Died):
+            write_batch(messages(spark, 3, first=10), store, "b-1")
+        with pytest.raises(Died):
+            write_contacts(contact_rows(spark, on_day(80, 1)), store.contacts)
+    write_contacts(contact_rows(spark, on_day(81, 1)), store.contacts, mode="overwrite", keep_replaced=True)
+    whole = seen(spark, store)
+    assert vacuum(spark, store) == []  # all of it is young
+    assert len(vacuum(spark, store, timedelta(0))) > 6
+    assert seen(spark, store) == whole
+    assert len(Folder(spark, store.contacts).matching("*=*/*")) == 1
+    assert store.log(spark).begun() == {}
+    write_batch(messages(spark, 3, first=10), store, "b-1")
+    assert len(seen(spark, store)[0]) == 4
+
+
+def test_the_catalogue_follows(spark, store):
+    names = create_tables(spark, store, "follows")
+
+    def check():
+        sync_catalog(spark, store, "follows")
+        ids, letters, _ = seen(spark, store)
+        assert [spark.table(n).count() for n in names] == [len(ids), len(letters)]
+
+    check()
+    for k in range(2):
+        write_batch(messages(spark, 3, first=10 * k), store, f"b-{k}")
+    check()
+    write_batch(messages(spark, 1, first=10), store, "b-1")
+    check()
+    replay_store(spark, store, NO_QUEUE)
+    check()
+    consolidate_days(spark, store, date(2026, 1, 1), date(2026, 1, 3))
+    check()
+    write_contacts(contact_rows(spark, on_day(99, 9)), store.contacts, mode="overwrite")
+    check()
+    for k in range(30):  # the commits since are tidied up
+        store.log(spark).commit(lambda state: Change([Part("otra", "d=1", f"lote={k}", "x")]))
+    write_batch(messages(spark, 2, first=40), store, "b-9")
+    check()
+
+
+def test_a_commit_that_comes_second_is_built_again(spark, tmp_path):
+    log, asked = CommitLog(spark, str(tmp_path)), []
+
+    def build(state: State) -> Change:
+        asked.append(state.number)
+        if len(asked) == 1:
+            CommitLog(spark, str(tmp_path)).commit(lambda other: Change([Part("t", "d=1", "lote=x", "x")]))
+        return Change([Part("t", "d=1", f"lote={len(asked)}", "y")])
+
+    after = log.commit(build)
+    assert asked == [1, 2] and after.number == 3
+    assert [p.name for p in log.state().parts("t")] == ["lote=2", "lote=x"]
+
+
+def test_the_log_stays_short(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "SNAPSHOT_EVERY", 4)
+    log, known = CommitLog(spark, str(tmp_path)), None
+    for n in range(30):
+        part = Part("t", f"d={n % 3}", f"lote={n}", f"l{n}")
+        known = log.commit(lambda state: Change([part], [p for p in state if p.name == f"lote={n - 5}"]), known)
+    assert [p.name for p in sorted(log.state(), key=lambda p: int(p.name[5:]))] == [f"lote={n}" for n in range(25, 30)]
+    assert set(CommitLog(spark, str(tmp_path)).state()) == set(known)
+    assert len(Folder(spark, f"{tmp_path}/_commits").names()) <= 12
+
+
+def test_the_aggregate_reads_new_loads_only(spark, store):
+    for k in range(2):
+        write_batch(messages(spark, 3, first=10 * k), store, f"b-{k}")
+    assert refresh_rollup(spark, store) == 6
+    assert refresh_rollup(spark, store) == 0
+    write_batch(messages(spark, 3, first=30), store, "b-2")
+    gone = store.log(spark).state().parts("contactos")[0]
+    folder = Folder(spark, store.contacts)
+    folder.move(f"{store.contacts}/{gone.day}/{gone.name}", f"{store.root}/aside")  # an old load cannot be read
+    assert refresh_rollup(spark, store) == 3
+    assert read_rollup(spark, store).agg(F.sum("n")).first()[0] == 9
+    folder.move(f"{store.root}/aside", f"{store.contacts}/{gone.day}/{gone.name}")
+    write_batch(messages(spark, 1, first=30), store, "b-2")
+    consolidate_days(spark, store, date(2026, 1, 1), date(2026, 1, 2))
+    refresh_rollup(spark, store)
+    assert read_rollup(spark, store).agg(F.sum("n")).first()[0] == 7
+    assert len(store.log(spark).state().parts("resumen")) == len(store.log(spark).state().parts("contactos")) == 4

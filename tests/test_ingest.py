@@ -194,3 +194,24 @@ def test_contacts_can_be_published_and_ingested(spark, tmp_path, store):
     drain(spark, str(tmp_path / "topic"), store, tmp_path / "cp")
     back = read_contacts(spark, store.contacts).select(*CONTACT_COLUMNS)
     assert back.exceptAll(rows).isEmpty() and back.count() == len(GOOD)
+
+
+def test_a_hot_message_comes_once(spark, tmp_path, store):
+    folder = str(tmp_path / "in")
+    hot = message_rows(spark, GOOD[0]).crossJoin(spark.range(20_000)).drop("id")
+    message_rows(spark, *GOOD, *BAD, BAD[0]).union(hot).repartition(4).write.parquet(folder)
+
+    def run():
+        messages = read_message_files(spark, folder)
+        query = start_ingest(messages, store, str(tmp_path / "cp"), drain=True, unique_within="1 hour")
+        query.awaitTermination()
+        return query.recentProgress
+
+    progress = run()
+    assert ids(read_contacts(spark, store.contacts)) == sorted(json.loads(g)["contact_id"] for g in GOOD)
+    assert read_dlq(spark, store.dlq).count() == len(BAD) + 1
+    state = [s for p in progress for s in p["stateOperators"]]
+    assert sum(s["customMetrics"]["numDroppedDuplicateRows"] for s in state) < 20  # the others went before they moved
+    message_rows(spark, *GOOD[:3], json.dumps(event(contact_id="new"))).write.mode("append").parquet(folder)
+    run()
+    assert read_contacts(spark, store.contacts).count() == len(GOOD) + 1

@@ -8,7 +8,7 @@ from tests.samples import contact_rows, event, message_rows
 from tidedesk.operators.validate import valid_rows, validate
 from tidedesk.schema import CONTACT_SCHEMA
 from tidedesk.sources.messages import read_message_files
-from tidedesk.streaming.live import live_kpis, read_live, start_live, window_batches
+from tidedesk.streaming.live import live_kpis, merge_live, read_live, start_live, window_batches
 from tidedesk_checks.projection import contacts
 
 START = datetime(2026, 1, 1, 10)
@@ -98,3 +98,34 @@ def test_longer_lateness_keeps_it(feed):
     feed([at(10), at(400)], lateness="10 minutes")
     out = feed([at(11), at(900)], lateness="10 minutes")
     assert [r.total_contactos for r in out.collect() if r.inicio == START] == [2]
+
+
+def relive(spark, tmp_path, events, checkpoint):
+    folder, out = str(tmp_path / f"in-{checkpoint}"), str(tmp_path / "out")
+    for batch in events:
+        contact_rows(spark, *batch).coalesce(1).write.mode("append").parquet(folder)
+        stream = live_kpis(spark.readStream.schema(CONTACT_SCHEMA).parquet(folder))
+        start_live(stream, out, str(tmp_path / checkpoint), drain=True).awaitTermination()
+    return out, stream.schema
+
+
+def test_a_new_checkpoint_writes_later_states(spark, tmp_path):
+    """The older query is far ahead in batches and has counted less."""
+    relive(spark, tmp_path, [[at(s)] for s in (1, 2, 3, 4)], "old")
+    out, schema = relive(spark, tmp_path, [[at(s) for s in range(50)]], "new")
+    assert [r.total_contactos for r in read_live(spark, out, schema).collect()] == [50]
+
+
+def test_finished_days_are_merged(spark, tmp_path):
+    out, schema = relive(spark, tmp_path, [[at(s)] for s in (1, 2, 90)], "cp")
+    before = sorted(map(str, read_live(spark, out, schema).collect()))
+    day = START.date()
+    merge_live(spark, out, schema, day)
+    assert len(list(tmp_path.glob("out/fecha=*/lote=*"))) == 3
+    merge_live(spark, out, schema, day + timedelta(days=1))
+    assert len(list(tmp_path.glob("out/fecha=*/lote=*"))) == 1
+    assert sorted(map(str, read_live(spark, out, schema).collect())) == before
+    contact_rows(spark, at(91)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in-cp"))
+    relive(spark, tmp_path, [[at(92)]], "cp")
+    counts = {(r.inicio - START).seconds: r.total_contactos for r in read_live(spark, out, schema).collect()}
+    assert counts == {0: 2, 60: 3}

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +13,7 @@ from tidedesk.functions.contact import event_date
 from tidedesk.operators.validate import validate
 from tidedesk.schema import DLQ_SCHEMA, REQUIRED_FIELDS, WINDOW_SECONDS
 from tidedesk.session import require_utc
-from tidedesk.sources.tables import CLUSTER_BY, DAY, DLQ_DAY, ContactStore, log_load, replace_load
+from tidedesk.sources.tables import CLUSTER_BY, DAY, DLQ_DAY, ContactStore, Sink, commit_load
 
 log = logging.getLogger(__name__)
 
@@ -32,28 +31,50 @@ def ingest_rows(messages: DataFrame, required: Sequence[str] = REQUIRED_FIELDS)
     )
 
 
+def unique_rows(rows: DataFrame, within: str) -> DataFrame:
+    """The rows of a stream without contacts that came before, by their id, in the last ``within`` (such as "1 hour").
+
+    The instant of capture is the watermark's, so nothing is late for it, and the state holds the ids of that long.
+    Rejected messages have no id and all stay. Copies in one batch of rows of a task are reduced to one before the
+    ids are dealt to their state, so that a message sent very often reaches one task a few times only.
+    """
+    key = "_clave"
+    keyed = rows.withColumn(key, F.when(F.col("error").isNull(), F.col("evento.contact_id")).otherwise(F.uuid()))
+
+    # A closure is sent to workers by value, so they need no copy of this package.
+    def first_of_each(batches):
+        import pyarrow
+
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index(key)).to_pylist()
+            places = {k: n for n, k in reversed(list(enumerate(keys)))}
+            yield batch.take(pyarrow.array(sorted(places.values()), pyarrow.int64()))
+
+    few = keyed.mapInArrow(first_of_each, keyed.schema)
+    return few.withWatermark("ingested_at", within).dropDuplicatesWithinWatermark([key]).drop(key)
+
+
 def write_batch(rows: DataFrame, store: ContactStore, load: str) -> dict[str, int]:
-    """Writes one micro-batch of ``ingest_rows`` to both tables; returns the rows per table.
+    """Writes one micro-batch of ``ingest_rows`` to both tables in one commit; returns the rows per table.
 
-    The batch is kept while both sinks read it, so each message is parsed once. The two writes are
-    not atomic together, but a retry of the load replaces both. Rows are counted as they are written:
-    a batch costs the two writes and no further job. An empty batch leaves no rows and no log entry.
+    The batch is kept while both sinks read it, so each message is parsed once. A reader sees the whole batch, in both
+    tables and the load log, or nothing of it; a retry replaces what an earlier attempt has committed. Rows
+    are counted as they are written: a batch costs the two writes and no further job. An empty batch leaves no rows
+    and no log entry.
     """
     rows = rows.persist()
-    counts = {"contactos": Observation(), "contactos_dlq": Observation()}
     try:
         valid = rows.where(F.col("error").isNull()).select("evento.*").withColumn(DAY, event_date())
         rejected = rows.where(F.col("error").isNotNull()).select(
             *DLQ_SCHEMA.names, F.to_date("ingested_at").alias(DLQ_DAY)
         )
-        replace_load(valid, store.contacts, load, DAY, *CLUSTER_BY, count=counts["contactos"])
-        replace_load(rejected, store.dlq, load, DLQ_DAY, count=counts["contactos_dlq"])
+        sinks = [Sink(valid, store.contacts, DAY, CLUSTER_BY), Sink(rejected, store.dlq, DLQ_DAY)]
+        spark = rows.sparkSession
+        written = commit_load(spark, store.log(spark), load, sinks, logged=store.load_log)
     finally:
         rows.unpersist()
-    written = {table: count.get["filas"] for table, count in counts.items()}
     if not any(written.values()):
         return {}
-    log_load(rows.sparkSession, store, load, datetime.now(timezone.utc).date().isoformat(), written)
     for table, n in written.items():
         log.info("load %s: %d rows to %s", load, n, table)
     return written
@@ -77,16 +98,19 @@ def start_ingest(
     drain: bool = False,
     required: Sequence[str] = REQUIRED_FIELDS,
     name: str | None = None,
+    unique_within: str | None = None,
 ) -> StreamingQuery:
     """Starts ingestion with one load per ``window_seconds``, until stopped.
 
-    ``drain`` takes what is there now and ends. Nothing is late for ingestion: no watermark is set.
+    ``drain`` takes what is there now and ends. Nothing is late for ingestion. With ``unique_within`` a contact that
+    comes again in that time is left out, as ``unique_rows`` says.
     """
     require_utc(messages.sparkSession)
+    rows = ingest_rows(messages, required)
+    rows = unique_rows(rows, unique_within) if unique_within else rows
     trigger = {"availableNow": True} if drain else {"processingTime": f"{window_seconds} seconds"}
     return (
-        ingest_rows(messages, required)
-        .writeStream.foreachBatch(batch_writer(store))
+        rows.writeStream.foreachBatch(batch_writer(store))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start(queryName=name)

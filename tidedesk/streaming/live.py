@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date
+
 from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +15,8 @@ from tidedesk.functions.measures import rounded
 from tidedesk.operators.kpis import KPIS
 from tidedesk.operators.validate import valid_rows, validate
 from tidedesk.schema import WINDOW_SECONDS
-from tidedesk.sources.tables import DAY, LOAD, replace_load
+from tidedesk.sources.commits import Change, Part
+from tidedesk.sources.tables import DAY, LOAD, Sink, commit_load, drop_parts, log_of, stage_load
 
 LATENESS = "2 minutes"
 
@@ -57,14 +61,18 @@ def start_live(
 
     A window is written again while contacts for it arrive, so none waits for the watermark and a
     bounded run leaves none out; ``read_live`` takes the latest. Once the watermark has passed its
-    end, it is final and leaves the state. A retried micro-batch replaces its own load.
+    end, it is final and leaves the state. A retried micro-batch replaces its own load. Loads bear the number of the
+    commit they follow, which grows whatever query writes them: a query with a new checkpoint, whose batches count from
+    0 again, writes later states than the query before it.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
         query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        log, _ = log_of(rows.sparkSession, path)
         # A row for each changed window and channel; stateful batches have no adaptive plan to merge tasks.
         dated = rows.withColumn(DAY, F.to_date("inicio")).repartition(DAY)
-        replace_load(dated, path, f"{batch_id:010d}-{query_id}", DAY, "inicio")
+        follows = _version(log.open().number)
+        commit_load(rows.sparkSession, log, f"{query_id}-{batch_id:010d}", [Sink(dated, path, DAY, ("inicio",))], f"{follows}-")
 
     trigger = {"availableNow": True} if drain else {"processingTime": f"{seconds} seconds"}
     return (
@@ -76,18 +84,58 @@ def start_live(
     )
 
 
+def _version(number: int) -> str:
+    """The beginning of the name of a load that follows commit ``number``; names are in the order of time."""
+    return f"v{number:012d}"
+
+
 def read_live(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The latest state of every window in ``path``; ``schema`` is that of the streamed windows.
 
-    The latest is that of the highest micro-batch. Aggregated with partial maxima, so that a window
+    The latest is that of the load that follows the highest commit. Aggregated with partial maxima, so that a window
     written very often is small before it moves.
     """
+    log, table = log_of(spark, path)
+    state = log.state()
+    return _latest(spark, path, schema, state.parts(table) if state.number else None).drop(DAY)
+
+
+def _latest(spark: SparkSession, path: str, schema: T.StructType, parts: list[Part] | None) -> DataFrame:
     declared = T.StructType([*schema, T.StructField(DAY, T.DateType()), T.StructField(LOAD, T.StringType())])
-    rows = spark.read.schema(declared).parquet(path)
+    reader = spark.read.schema(declared).option("basePath", path)
+    if parts is None:
+        rows = reader.parquet(path)
+    elif parts:
+        rows = reader.parquet(*[f"{path}/{p.day}/{p.name}" for p in parts])
+    else:
+        rows = spark.createDataFrame([], declared)
     keys = [name for name in ("inicio", "fin", "canal") if name in schema.names]
     values = [name for name in schema.names if name not in keys]
-    latest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), LOAD).alias("v"))
-    return latest.select(*keys, "v.*").select(*schema.names)
+    latest = rows.groupBy(*keys, DAY).agg(F.max_by(F.struct(*values), LOAD).alias("v"))
+    return latest.select(*keys, "v.*", DAY).select(*schema.names, DAY)
+
+
+def merge_live(spark: SparkSession, path: str, schema: T.StructType, before: date) -> None:
+    """Puts one load with the latest states in place of the loads of each day before ``before``, in one commit.
+
+    What a query writes to such a day meanwhile stays, and comes later than the merged states. If another job has
+    taken a merged load out meanwhile, nothing is swapped.
+    """
+    log, table = log_of(spark, path)
+    state = log.open()
+    days: dict[str, list[Part]] = {}
+    for part in state.parts(table):
+        if part.value < str(before):
+            days.setdefault(part.day, []).append(part)
+    merged = [p for parts in days.values() if len(parts) > 1 for p in parts]
+    if not merged:
+        return
+    load = f"dia-{uuid.uuid4().hex}"
+    # "+" sorts before "-": a load that follows the same commit is later than the merged ones.
+    name = f"{_version(state.number)}+{load}"
+    parts = stage_load(_latest(spark, path, schema, merged), path, load, DAY, "inicio", folders=name)
+    swapped = log.commit(lambda now: Change(parts, merged) if all(p in now for p in merged) else Change(), state)
+    drop_parts(spark, path.rpartition("/")[0], merged if all(p in swapped for p in parts) else parts)
 
 
 def message_lines(messages: DataFrame) -> DataFrame:
