@@ -1,0 +1,105 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tests.samples import abandoned, contact_rows, event
+from tidedesk.operators.filters import DashboardFilter, apply_filters
+from tidedesk.plans import dashboard
+from tidedesk.plans.rollup import dashboard_tiles, refresh_rollup
+from tidedesk.schema import CONTACT_COLUMNS
+from tidedesk.sources.skipping import PIECE_BITS, files_with, find_contacts, index_loads, index_rows
+from tidedesk.sources.tables import ContactStore, read_contacts, read_parts, write_contacts
+from tidedesk_checks.projection import contacts
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def store(spark, tmp_path_factory):
+    """Four loads of ten agents each."""
+    store, rows = ContactStore(str(tmp_path_factory.mktemp("skip") / "store")), contacts(spark, SF_DIR)
+    number = F.substring("agente_id", 4, 3).cast("int")
+    for k in range(4):
+        write_contacts(rows.where((number > 10 * k) & (number <= 10 * k + 10)), store.contacts)
+    index_loads(spark, store)
+    return store
+
+
+def test_a_lookup_opens_only_files_that_may_hold_the_value(spark, store):
+    every = read_contacts(spark, store.contacts)
+    names = every.select("agente_id", F.col("_metadata.file_path").alias("f")).distinct().collect()
+    for agent in ("AG-001", "AG-017", "AG-040"):
+        holds = {r.f.partition("/store/")[2] for r in names if r.agente_id == agent}
+        paths = files_with(spark, store, "agente_id", agent)
+        assert holds <= {p.partition("/store/")[2] for p in paths} and len(paths) < 1.3 * len(holds) + 3
+        found = find_contacts(spark, store, "agente_id", agent)
+        assert len(found.inputFiles()) == len(paths) < len({r.f for r in names}) / 3
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, every.where(F.col("agente_id") == agent).collect()))
+    assert files_with(spark, store, "agente_id", "AG-999") == []
+    assert find_contacts(spark, store, "agente_id", "AG-999").count() == 0
+
+
+def test_orders_are_found_too_and_loads_without_an_index_are_opened(spark, store):
+    order = read_contacts(spark, store.contacts).where("orden_asociada IS NOT NULL").first()
+    assert find_contacts(spark, store, "orden_asociada", order.orden_asociada, order.fecha, order.fecha).count() > 0
+    write_contacts(contact_rows(spark, event(contact_id="new", agente_id="AG-999")), store.contacts)
+    assert [r.contact_id for r in find_contacts(spark, store, "agente_id", "AG-999").collect()] == ["new"]
+    assert index_loads(spark, store) == 1
+    assert [r.contact_id for r in find_contacts(spark, store, "agente_id", "AG-999").collect()] == ["new"]
+    with pytest.raises(ValueError, match="not indexed"):
+        files_with(spark, store, "canal", "voz")
+
+
+def test_filters_of_several_pieces(spark, tmp_path):
+    """More distinct values than one piece holds: all are found, few others pass."""
+    store = ContactStore(str(tmp_path / "s"))
+    one = contact_rows(spark, event())
+    many = spark.range(20_000).select(F.concat(F.lit("ORD-"), F.lpad(F.col("id") * 3, 9, "0")).alias("orden_asociada"))
+    write_contacts(one.drop("orden_asociada").crossJoin(many.coalesce(1)).coalesce(1).select(*CONTACT_COLUMNS), store.contacts)
+    index_loads(spark, store)
+    part = store.log(spark).state().parts("indice")[0]
+    rows = spark.read.parquet(f"{store.index}/{part.day}/{part.name}").where("columna = 'orden_asociada'")
+    assert rows.count() == -(-20_000 * 10 // PIECE_BITS)
+    hits = [bool(files_with(spark, store, "orden_asociada", f"ORD-{k:09d}")) for k in range(0, 150, 3)]
+    assert all(hits)
+    others = [bool(files_with(spark, store, "orden_asociada", f"ORD-{k:09d}")) for k in range(1, 150, 3)]
+    assert sum(others) < 10
+
+
+def test_an_abandoned_contact_has_no_agent(spark):
+    rows = contact_rows(spark, abandoned()).withColumns({"fecha": F.lit("2026-01-01").cast("date"), "lote": F.lit("x")})
+    assert "_metadata" not in rows.columns
+    assert read_parts(spark, "/nowhere", rows.schema, "fecha", []).count() == 0
+
+
+def test_filtered_tiles_from_the_aggregate_equal_the_direct_ones(spark, tmp_path):
+    store, rows = ContactStore(str(tmp_path / "s")), contacts(spark, SF_DIR)
+    write_contacts(rows, store.contacts)
+    refresh_rollup(spark, store)
+    day = rows.select(F.to_date("timestamp_evento")).first()[0]
+    for controls in (
+        DashboardFilter(),
+        DashboardFilter(day, day),
+        DashboardFilter(channels=("view", "click"), regions=("ASIA", "EUROPE")),
+        DashboardFilter(cross=("agente_id", "AG-007")),
+        DashboardFilter(cross=("agente_id", None)),
+        DashboardFilter(cross=("fecha", day)),
+        DashboardFilter(cross=("hora_del_dia", 9), channels=("view",)),
+    ):
+        direct = apply_filters(dashboard.dashboard_rows(read_contacts(spark, store.contacts)), controls)
+        tiles = dashboard_tiles(spark, store, controls)
+        for name in ("scorecards", "volume_by_hour", "tile_channel", "tile_queue", "top_agents_fcr", "heatmap_volume"):
+            got, expected = tiles[name].collect(), getattr(dashboard, name)(direct).collect()
+            assert len(got) == len(expected)
+            for a, b in zip(sorted(got, key=str), sorted(expected, key=str)):
+                assert all(x == y or abs(x - y) < 1e-9 for x, y in zip(a, b)), (name, controls)
+
+
+def test_sketches_are_derived_for_all_loads_or_none(spark, tmp_path):
+    store, rows = ContactStore(str(tmp_path / "s")), contacts(spark, SF_DIR)
+    write_contacts(rows, store.contacts)
+    parts = refresh_rollup(spark, store)
+    assert refresh_rollup(spark, store, sketched=True) == parts
+    assert refresh_rollup(spark, store, sketched=True) == 0
+    exact = dashboard_tiles(spark, store)["scorecards"].first().cpo
+    estimated = dashboard_tiles(spark, store, sketched=True)["scorecards"].first().cpo
+    assert abs(exact - estimated) <= 0.05 * exact + 0.01

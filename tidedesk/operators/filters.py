@@ -51,6 +51,10 @@ def apply_filters(rows: DataFrame, controls: DashboardFilter) -> DataFrame:
         rows = rows.where(instant < F.lit(controls.end + timedelta(days=1)))
         if partitioned:
             rows = rows.where(F.col("fecha") <= F.lit(controls.end))
+    return _by_value(rows, controls)
+
+
+def _by_value(rows: DataFrame, controls: DashboardFilter) -> DataFrame:
     if controls.channels:
         rows = rows.where(F.col("canal").isin(*controls.channels))
     if controls.regions:
@@ -60,11 +64,20 @@ def apply_filters(rows: DataFrame, controls: DashboardFilter) -> DataFrame:
     return rows
 
 
+def filter_dimensions(rows: DataFrame, controls: DashboardFilter) -> DataFrame:
+    """The same over rows that have the dimensions but no event instant, such as aggregates."""
+    if controls.start:
+        rows = rows.where(F.col("fecha") >= F.lit(controls.start))
+    if controls.end:
+        rows = rows.where(F.col("fecha") <= F.lit(controls.end))
+    return _by_value(rows, controls)
+
+
 def cross_filter(rows: DataFrame, dimension: str, value: object) -> DataFrame:
     """Rows of one clicked dimension value; a clicked "no value" keeps the NULL rows."""
     if dimension not in DIMENSIONS:
         raise ValueError(f"{dimension!r} is not a dimension; choose one of {', '.join(DIMENSIONS)}")
-    if dimension == "fecha" and isinstance(value, date):
+    if dimension == "fecha" and isinstance(value, date) and "timestamp_evento" in rows.columns:
         return apply_filters(rows, DashboardFilter(start=value, end=value))
     derived = {"fecha": event_date, "hora_del_dia": event_hour}
     column = derived[dimension]() if dimension in derived and dimension not in rows.columns else F.col(dimension)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidedesk.functions import measures
@@ -36,8 +36,12 @@ def refresh_dashboard(rows: DataFrame, path: str) -> dict[str, DataFrame]:
 
     Distinct orders cannot be merged from sums, so contacts per order reads its own column once more.
     """
-    cube = store_cube(rows, path)
     order_ratio = rows.agg(measures.cpo(F.sum("con_orden_flag")).alias("cpo")).scalar()
+    return cube_tiles(store_cube(rows, path), order_ratio)
+
+
+def cube_tiles(cube: DataFrame, order_ratio: Column) -> dict[str, DataFrame]:
+    """Every tile from partial sums by at least ``CUBE_DIMENSIONS``, and contacts per order as a scalar."""
     figures = cube.agg(*[merged(name).alias(name) for name in TABLE_MEASURES]).withColumn("cpo", order_ratio)
     by_hour = table_tile(cube, "hora_del_dia")
     by_agent = table_tile(cube.where(F.col("abandono_flag") == 0), "agente_id")
