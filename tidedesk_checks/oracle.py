@@ -367,6 +367,15 @@ ORACLE: dict[str, str] = {
     "heatmap_sla": _pivot("100 * avg(sla_flag) FILTER (canal = '{c}')"),
     "heatmap_volume": _pivot("nullif(count(*) FILTER (canal = '{c}'), 0)"),
     "dashboard_refresh": _over_rows(_TILES),
+    "refresh_after_loads": _over_rows(_TILES),
+    "cpo_sketch": _over_rows(
+        " UNION ALL ".join(
+            f"""SELECT '{dim}' AS dim, CAST({dim} AS VARCHAR) AS valor, count(orden_asociada) AS contactos_con_orden,
+                       count(DISTINCT orden_asociada) AS ordenes_distintas, true AS dentro FROM rows_ GROUP BY {dim}"""
+            for dim in ("canal", "cola", "region", "hora_del_dia", "fecha")
+        )
+    ),
+    "agent_lookup": _over_contacts(f"SELECT {_COLUMNS} FROM contacts WHERE agente_id = 'AG-007'"),
     "filter_date_range": _over_rows(f"SELECT * FROM rows_ WHERE {_WEEK}"),
     "filter_this_month": _over_rows(
         "SELECT * FROM rows_ WHERE fecha BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'"
@@ -434,7 +443,17 @@ ORACLE: dict[str, str] = {
         """SELECT CASE WHEN error IS NULL THEN 'contactos' ELSE 'contactos_dlq' END AS tabla, count(*) AS filas
            FROM messages GROUP BY ALL"""
     ),
+    "catalog_after_maintenance": _over_messages(
+        f"""SELECT paso, tabla, CASE WHEN tabla = 'contactos_dlq' THEN malos WHEN paso = 'ingesta' THEN buenos
+                                     WHEN paso = 'refresco' THEN todos ELSE reparados END AS filas
+            FROM (VALUES ('ingesta'), ('reproceso'), ('consolidacion'), ('refresco')) p(paso),
+                 (VALUES ('contactos'), ('contactos_dlq')) t(tabla),
+                 (SELECT count(*) AS todos, count(*) FILTER (error IS NULL) AS buenos,
+                         count(*) FILTER (error IS NOT NULL) AS malos FROM messages) m,
+                 (SELECT count(*) AS reparados FROM ({_REPLAYED})) r"""
+    ),
     "stream_ingest": _over_messages(_VALID),
+    "stream_ingest_unique": _over_messages(_VALID),
     "stream_ingest_dlq": _over_messages(
         "SELECT error, count(*) AS mensajes FROM messages WHERE error IS NOT NULL GROUP BY error"
     ),
@@ -443,5 +462,6 @@ ORACLE: dict[str, str] = {
            FROM messages GROUP BY ALL"""
     ),
     "window_batches": _over_contacts(_windows("count(*) AS contactos")),
+    "live_kpis_restarted": _over_contacts(_windows(f"count(*) AS total_contactos, {_KPIS}", "canal,")),
     "live_kpis": _over_contacts(_windows(f"count(*) AS total_contactos, {_KPIS}", "canal,")),
 }

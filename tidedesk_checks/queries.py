@@ -9,17 +9,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidedesk.functions.contact import contact_line
+from tidedesk.functions.contact import contact_line, event_date
 from tidedesk.operators import filters, kpis, quality
 from tidedesk.operators.validate import dlq_rows, valid_rows, validate
 from tidedesk.plans import dashboard
 from tidedesk.plans.refresh import refresh_dashboard
 from tidedesk.plans.replay import replay_store
+from tidedesk.plans.rollup import SKETCH_ERROR, dashboard_tiles, read_rollup, refresh_rollup, sketched_orders
 from tidedesk.plans.views import register_views
-from tidedesk.schema import CONTACT_COLUMNS, REQUIRED_FIELDS, literal_rows
+from tidedesk.schema import CONTACT_COLUMNS, REQUIRED_FIELDS, conform, literal_rows
 from tidedesk.session import pin_utc
-from tidedesk.sources import messages, tables
-from tidedesk.sources.tables import ContactStore
+from tidedesk.sources import messages, skipping, tables
+from tidedesk.sources.tables import CLUSTER_BY, DAY, ContactStore, Sink
 from tidedesk.streaming.ingest import start_ingest
 from tidedesk.streaming.live import live_kpis, read_live, start_live, window_batches
 from tidedesk_checks.folders import work_dir
@@ -30,6 +31,8 @@ AS_OF = date(2024, 1, 24)
 CHANNEL_PLAN = [("view", 0.45), ("click", 0.30), ("purchase", 0.15), ("correo", 0.10)]
 QUEUE_PLAN = [("AUTOMOBILE", 0.35), ("BUILDING", 0.25), ("FURNITURE", 0.20), ("Pagos", 0.20)]
 REPLAY_OPTIONAL = ("cola", "region")
+LOOKED_UP = "AG-007"
+ORDER_DIMENSIONS = ("canal", "cola", "region", "hora_del_dia", "fecha")
 # --- End of fixed values ------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,7 +105,7 @@ DASHBOARD_NUMBERS = (
 @query("registered_views")
 def _registered_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All figures of the eight views over a stored table."""
-    path = work_dir(spark, "views")
+    path = ContactStore(work_dir(spark, "views")).contacts
     tables.write_contacts(contacts(spark, sf_dir), path)
     views = []
     for name in register_views(tables.read_contacts(spark, path)):
@@ -115,7 +118,7 @@ def _registered_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scan_table")
 def _scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = work_dir(spark, "scan")
+    path = ContactStore(work_dir(spark, "scan")).contacts
     tables.write_contacts(contacts(spark, sf_dir), path)
     return tables.read_contacts(spark, path).select(*CONTACT_COLUMNS)
 
@@ -144,6 +147,59 @@ def _dashboard_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _load(spark: SparkSession, store: ContactStore, load: str, rows: DataFrame) -> None:
+    """One load of contacts, in place of what the same load has brought before."""
+    sink = Sink(conform(rows, event_date().alias(DAY)), store.contacts, DAY, CLUSTER_BY)
+    tables.commit_load(spark, store.log(spark), load, [sink])
+
+
+@query("refresh_after_loads")
+def _refresh_after_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All figures of the eight tiles from the stored aggregate, after three loads and a replaced one."""
+    store, rows = ContactStore(work_dir(spark, "rollup")), contacts(spark, sf_dir)
+    third = F.col("contact_id").cast("bigint") % 3
+    loads = [rows.where(third == 0), rows.where((third == 1) & (F.col("canal") == "view")), rows.where(third == 2)]
+    for k, part in enumerate(loads):
+        _load(spark, store, f"carga-{k}", part)
+        refresh_rollup(spark, store)
+    _load(spark, store, "carga-1", rows.where(third == 1))
+    refresh_rollup(spark, store)
+    return reduce(
+        DataFrame.unionByName,
+        [long_form(name, tile, TILE_KEYS.get(name, "hora_del_dia")) for name, tile in dashboard_tiles(spark, store).items()],
+    )
+
+
+@query("cpo_sketch")
+def _cpo_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts with an order per value of each dimension, and whether the sketched orders are within their bound."""
+    store = ContactStore(work_dir(spark, "sketch"))
+    _load(spark, store, "carga-0", contacts(spark, sf_dir))
+    refresh_rollup(spark, store, sketched=True)
+    cube = read_rollup(spark, store)
+    rows = dashboard.dashboard_rows(tables.read_contacts(spark, store.contacts))
+    out = []
+    for dim in ORDER_DIMENSIONS:
+        told = cube.groupBy(dim).agg(F.sum("con_orden_n").alias("contactos_con_orden"), sketched_orders().alias("k"))
+        exact = rows.groupBy(dim).agg(F.countDistinct("orden_asociada").alias("ordenes_distintas"))
+        near = F.abs(F.col("k") - F.col("ordenes_distintas")) <= SKETCH_ERROR * F.col("ordenes_distintas")
+        value = F.col(dim).cast("string").alias("valor")
+        counts = ["contactos_con_orden", "ordenes_distintas"]
+        out.append(told.join(exact, dim).select(F.lit(dim).alias("dim"), value, *counts, near.alias("dentro")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("agent_lookup")
+def _agent_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contacts of one agent, from the files that may hold them."""
+    store, rows = ContactStore(work_dir(spark, "lookup")), contacts(spark, sf_dir)
+    group = F.coalesce(F.substring("agente_id", 4, 3).cast("int"), F.lit(0)) % 4
+    for k in range(4):
+        _load(spark, store, f"carga-{k}", rows.where(group == k))
+    skipping.index_loads(spark, store)
+    return skipping.find_contacts(spark, store, "agente_id", LOOKED_UP).select(*CONTACT_COLUMNS)
+
+
 def over_filtered(name: str, controls: filters.DashboardFilter, job: Callable[[DataFrame], DataFrame]) -> None:
     over_contacts(name, lambda rows: job(dashboard.dashboard_rows(filters.apply_filters(rows, controls))))
 
@@ -267,7 +323,7 @@ def _per_day(rows: DataFrame) -> DataFrame:
 
 @query("load_overwrite")
 def _load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, rows = work_dir(spark, "overwrite"), contacts(spark, sf_dir)
+    path, rows = ContactStore(work_dir(spark, "overwrite")).contacts, contacts(spark, sf_dir)
     for _ in range(2):
         tables.write_contacts(rows, path, mode="overwrite")
     return _per_day(tables.read_contacts(spark, path))
@@ -275,7 +331,7 @@ def _load_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("load_append")
 def _load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, rows = work_dir(spark, "append"), contacts(spark, sf_dir)
+    path, rows = ContactStore(work_dir(spark, "append")).contacts, contacts(spark, sf_dir)
     for _ in range(2):
         tables.write_contacts(rows, path, mode="append")
     return _per_day(tables.read_contacts(spark, path))
@@ -283,7 +339,7 @@ def _load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("partitioned_scan")
 def _partitioned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = work_dir(spark, "partitioned")
+    path = ContactStore(work_dir(spark, "partitioned")).contacts
     tables.write_contacts(contacts(spark, sf_dir), path)
     week = filters.last_n_days(AS_OF, 7)
     return filters.apply_filters(tables.read_contacts(spark, path, week.start, week.end), week)
@@ -303,6 +359,29 @@ def _create_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("catalog_after_maintenance")
+def _catalog_after_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the catalogued tables show after each step of a store's life."""
+    root = work_dir(spark, "maintained")
+    store, database = ContactStore(root), "kept_" + root.rsplit("-", 1)[1]
+    names = tables.create_tables(spark, store, database)
+    shown = []
+
+    def step(name: str) -> None:
+        tables.sync_catalog(spark, store, database)
+        shown.extend((name, n.split(".")[1], spark.table(n).count()) for n in names)
+
+    _ingested(spark, sf_dir, store)
+    step("ingesta")
+    replay_store(spark, store, RELAXED)
+    step("reproceso")
+    tables.consolidate_days(spark, store, date(2024, 1, 1), date(2024, 1, 31))
+    step("consolidacion")
+    tables.write_contacts(contacts(spark, sf_dir), store.contacts, mode="overwrite")
+    step("refresco")
+    return literal_rows(spark, shown, "paso string, tabla string, filas bigint")
+
+
 # Streaming
 def _ingested(spark: SparkSession, sf_dir: str, store: ContactStore | None = None) -> ContactStore:
     store = store or ContactStore(work_dir(spark, "ingest"))
@@ -322,6 +401,16 @@ def _stream_ingest_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.groupBy("error").agg(F.count("*").alias("mensajes"))
 
 
+@query("stream_ingest_unique")
+def _stream_ingest_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contacts of a stream that brings every message three times."""
+    store = ContactStore(work_dir(spark, "unique"))
+    sent = payloads(contact_stream(spark, sf_dir, max_files=1000))
+    thrice = sent.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("k")
+    start_ingest(thrice, store, f"{store.root}/checkpoint", drain=True, unique_within="1 hour").awaitTermination()
+    return tables.read_contacts(spark, store.contacts).select(*CONTACT_COLUMNS)
+
+
 @query("ingest_metrics")
 def _ingest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = tables.read_load_log(spark, _ingested(spark, sf_dir).load_log)
@@ -338,3 +427,12 @@ def _live_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_live(stream, f"{path}/windows", f"{path}/checkpoint", drain=True).awaitTermination()
     return read_live(spark, f"{path}/windows", stream.schema)
 
+
+@query("live_kpis_restarted")
+def _live_windows_restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows after a query over half of the contacts and one with a new checkpoint over all of them."""
+    path = work_dir(spark, "relive")
+    for name, share in (("first", F.col("contact_id").cast("bigint") % 2 == 0), ("second", F.lit(True))):
+        stream = live_kpis(contact_stream(spark, sf_dir).where(share))
+        start_live(stream, f"{path}/windows", f"{path}/{name}", drain=True).awaitTermination()
+    return read_live(spark, f"{path}/windows", stream.schema)
