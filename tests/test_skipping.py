@@ -32,7 +32,7 @@ def test_a_lookup_opens_only_files_that_may_hold_the_value(spark, store):
         paths = files_with(spark, store, "agente_id", agent)
         assert holds <= {p.partition("/store/")[2] for p in paths} and len(paths) < 1.3 * len(holds) + 3
         found = find_contacts(spark, store, "agente_id", agent)
-        assert len(found.inputFiles()) == len(paths) < len({r.f for r in names}) / 3
+        assert len(found.inputFiles()) == len(paths) < len({r.f for r in names}) / 2
         assert sorted(map(tuple, found.collect())) == sorted(map(tuple, every.where(F.col("agente_id") == agent).collect()))
     assert files_with(spark, store, "agente_id", "AG-999") == []
     assert find_contacts(spark, store, "agente_id", "AG-999").count() == 0
