@@ -34,6 +34,19 @@ def test_parse():
     assert blocks("a<style>") == ["a"] and blocks("</p></div>a</b>") == ["a"]
 
 
+def test_open_elements_cost_no_text():
+    assert blocks('<article><p>One <svg class="i"/> two.</p><p>Three.</p></article>') == ["One two.", "Three."]
+    assert blocks("<p>a <svg><svg>x</svg><path/></svg> b</p><p>c</p>") == ["a b", "c"]
+    assert blocks("<p>a <svg><path> b</p><p>c</p>") == ["a", "c"]
+    assert blocks("<p>a</p><button>Open<p>b</p><p>c</p>") == ["a", "b", "c"]
+    assert blocks("<p>a</p><button>Open<p>b</p><button>x</button><p>c</p>") == ["a", "b", "c"]
+    assert blocks("<p>a</p><button><div>Buy</div></button><p>b</p>") == ["a", "b"]
+    assert blocks("<p>a<select><option>x</p><p>b</p>") == ["a", "b"]
+    assert blocks("<p>a<select><option>x</select> y</p><p>b</p>") == ["a y", "b"]
+    assert blocks("<p>E = <math><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math></p>") == ["E = mc2"]
+    assert blocks("<p>a</p><script>var x = '<p>no</p>'") == ["a"] and blocks("<p>a</p><textarea><p>no") == ["a"]
+
+
 def test_nothing_below_a_dropped_node_is_kept():
     page = parse("<div class='sidebar'><div><p>" + words(1, 60) + "</p></div></div><div><p>" + words(2, 60) + "</p></div>")
     assert decode(page, hint_margins(features(page))) == words(2, 60)

@@ -55,6 +55,20 @@ def test_one_document_of_each_group_stays(spark):
     assert Counter(r["doc_id"] for r in kept) == Counter(c for c, _ in groups)
 
 
+def test_texts_that_share_an_id_are_kept_apart(spark):
+    rows = [(7, words(8, 100)), (7, words(9, 100)), (7, words(8, 100)), (9, words(9, 100))]
+    kept = corpus_pipeline.keep_one_of_each_group(spark, documents(spark, rows), "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(7, words(8, 100)), (7, words(9, 100))])
+
+
+def test_short_benchmark_items_drop_whole_copies_only(spark, tmp_path):
+    leak = words(900, 12)
+    rows = [(1, f"the {words(1, 40)} und"), (2, "The."), (3, f"{words(2, 40)} {leak}"), (4, ""), (5, None), (6, words(3, 40))]
+    docs = documents(spark, rows)
+    sf_dir = folder(spark, tmp_path, docs, [(1, "the"), (2, "und"), (3, leak), (4, ""), (5, None)])
+    assert ids(corpus_pipeline.drop_benchmark_leaks(spark, docs, sf_dir)) == [1, 4, 5, 6]
+
+
 def test_quality_stage_keeps_what_the_operator_keeps(spark):
     docs = awkward(spark)
     judged = quality_rules(docs, ["doc_id"]).collect()
@@ -75,7 +89,8 @@ def test_registered_and_guarded(tmp_path):
     names = set(contract.queries())
     for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
-    assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
+    assert "pipeline" in names
+    assert [n for n, _ in corpus_pipeline.STAGES][1] == "SimHash near-dedup" and len(corpus_pipeline.STAGES) == 5
     (tmp_path / "tidedesk_checks").symlink_to(ROOT / "tidedesk_checks")
     (tmp_path / "tidedesk").mkdir()
     for item in (ROOT / "tidedesk").iterdir():

@@ -90,3 +90,16 @@ def test_awkward_rows_and_empty_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert result(remove_repeats(docs)) == brute(rows)
     assert remove_repeats(documents(spark, [])).count() == 0
+
+
+def test_an_id_with_several_texts_in_other_blocks(spark, monkeypatch):
+    """Every row with the id loses what a smaller id has, whatever tasks and blocks they lie in."""
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 500)
+    draw = random.Random(9)
+    passage = "".join(draw.choices("abcdefgh ", k=82))
+    rows = [(5, f"{''.join(draw.choices('ijklmnop', k=40 + k))} {passage}{'qrstuvwxyz'[k] * 30}") for k in range(8)]
+    rows += [(3, f"start {passage} end")] + [(100 + k, "".join(draw.choices("abcdefgh ", k=300))) for k in range(12)]
+    docs = documents(spark, rows[:8]).coalesce(1).union(documents(spark, rows[8:]).coalesce(1))
+    got = result(remove_repeats(docs))
+    assert got == brute(rows)
+    assert sum(r[2] >= 82 for r in got) == 8
