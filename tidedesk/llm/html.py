@@ -13,7 +13,6 @@ import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -87,8 +86,19 @@ class Page:
     blocks: list[tuple[int, str]] = field(default_factory=list)
 
 
-@lru_cache(4096)
-def _hints(attributes: str) -> tuple[int, int]:
+#: Attributes whose tokens are remembered at a time; pages repeat them.
+REMEMBERED = 4096
+
+
+def _hints(attributes: str, known: dict[str, tuple[int, int]]) -> tuple[int, int]:
+    if attributes not in known:
+        if len(known) >= REMEMBERED:
+            known.clear()
+        known[attributes] = _count_hints(attributes)
+    return known[attributes]
+
+
+def _count_hints(attributes: str) -> tuple[int, int]:
     tokens = set()
     for value in ATTRIBUTES.findall(attributes):
         tokens.update(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()))
@@ -127,14 +137,18 @@ def _next_block(html: str, at: int) -> int:
     return block.start() if block else len(html)
 
 
-def parse(html: str) -> Page:
-    """Block elements and the text directly in them. Tags that are left open end where a parser would end them."""
+def parse(html: str, known: dict[str, tuple[int, int]] | None = None) -> Page:
+    """Block elements and the text directly in them. Tags that are left open end where a parser would end them.
+
+    ``known`` remembers what attributes say from page to page.
+    """
+    known = {} if known is None else known
     page, stack = Page(), [0]
     pieces: list[str] = []
     linked, in_link, at = 0, False, 0
 
     def open_node(tag: str, attributes: str) -> None:
-        main, other = _hints(attributes) if attributes else (0, 0)
+        main, other = _hints(attributes, known) if attributes else (0, 0)
         page.parent.append(stack[-1] if page.parent else -1)
         page.tag.append(tag)
         page.main_hint.append(main)
@@ -350,9 +364,10 @@ def decode(page: Page, margins: np.ndarray) -> str:
 
 
 def _training_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    known: dict[str, tuple[int, int]] = {}
     for batch in batches:
         for page_id, html in zip(batch["page_id"], batch["html"]):
-            page = parse(html or "")
+            page = parse(html or "", known)
             labels = weak_labels(page)
             if labels is not None:
                 yield pd.DataFrame(
@@ -391,7 +406,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
 
     @pandas_udf(StringType())
     def extract(html: pd.Series) -> pd.Series:
-        parsed = [parse(h or "") for h in html]
+        known: dict[str, tuple[int, int]] = {}
+        parsed = [parse(h or "", known) for h in html]
         rows = [features(p) for p in parsed]
         every = np.concatenate(rows) if rows else np.zeros((0, FEATURES), np.float32)
         margins = Forest(*parts.value).margins(every) if parts.value else hint_margins(every)
