@@ -1,6 +1,8 @@
 import math
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from tests.llm.samples import awkward, documents, words
 from tidedesk.llm import perplexity as P
 from tidedesk.llm.perplexity import perplexities
@@ -43,11 +45,16 @@ def brute(trusted, texts):
 def test_equals_brute_force(spark, monkeypatch):
     rows = [(n, words(n, 40, 60)) for n in range(30)] + [(30, "qqqq zzzz é"), (31, "w")]
     labels = spark.createDataFrame([(n, int(n < 20), 0) for n in range(25)], "doc_id long, quality int, toxic int")
-    want = brute([t.encode() for n, t in rows if n < 20], [t.encode() for _, t in rows])
+    held = {r[0] for r in spark.range(20).where(F.pmod(F.xxhash64("id"), F.lit(P.HELD_OUT)) == 0).collect()}
+    assert 0 < len(held) < 20
+    want = brute([t.encode() for n, t in rows if n < 20 and n not in held], [t.encode() for _, t in rows])
     got = {r["doc_id"]: r for r in perplexities(documents(spark, rows), labels).collect()}
     for (n, _), w in zip(rows, want):
         assert math.isclose(got[n]["perplexity"], w, rel_tol=1e-5)
-    assert not got[30]["kept"] and all(got[n]["kept"] for n in range(20))
+    assert not got[30]["kept"]
+    # The limit is that of the worst of a few held-out texts, which were not counted.
+    assert got[0]["threshold"] == max(got[n]["perplexity"] for n in held)
+    assert all(r["kept"] == (r["perplexity"] <= r["threshold"]) for r in got.values())
     monkeypatch.setattr(P, "PART_GRAMS", 400)
     monkeypatch.setattr(P, "COUNT_BYTES", 500)
     monkeypatch.setattr(P, "SCORE_BYTES", 300)

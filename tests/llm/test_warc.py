@@ -84,3 +84,32 @@ def test_dechunk():
 
 def test_empty_table(spark):
     assert archive_pages(pages(spark, [])).count() == 0
+
+
+def foreign(version, kind, fields, block, length=True):
+    head = [f"WARC/{version}", f"WARC-Type: {kind}", *fields, *([f"Content-Length: {len(block)}"] if length else [])]
+    return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_others(spark, tmp_path):
+    import gzip
+
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    body = "<p>It says WARC/1.0\r\nand WARC/1.1\r\n in a line. ñ</p>".encode()
+    records = [
+        foreign("1.0", "warcinfo", ["WARC-Record-ID: <urn:uuid:0>"], b"software: x\r\n"),
+        foreign("1.0", "response", ["WARC-Record-ID: <urn:uuid:1>", "X-Page-Id: 1", "WARC-Payload-Digest: sha1:ABC"], http + body),
+        foreign("1.1", "response", ["WARC-Record-ID: <urn:uuid:2>", "X-Page-Id: 2"], http + b"two"),
+        foreign("1.0", "response", ["WARC-Record-ID: <urn:uuid:3>", "X-Page-Id: 3"], http + b"no length", length=False),
+        foreign("1.0", "response", ["WARC-Record-ID: <urn:uuid:4>", "X-Page-Id: 4", "Content-Length: many"], http + b"bad length", length=False),
+        foreign("1.0", "response", ["WARC-Record-ID: <urn:uuid:5>", "X-Page-Id: 5", "X-Payload-Length: 9"], http + b"wrong"),
+    ]
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    got = {r["page"]: r for r in read_archives(spark, str(tmp_path)).collect()}
+    assert {p: (bytes(r["payload"]), r["sound"]) for p, r in got.items()} == {
+        "1": (body, True),
+        "2": (b"two", True),
+        "3": (b"no length", False),
+        "4": (b"bad length", False),
+        "5": (b"wrong", False),
+    }

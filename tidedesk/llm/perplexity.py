@@ -31,8 +31,10 @@ SCORE_BYTES = 1 << 20
 PART_GRAMS = 3_000_000
 #: Trusted ids that are broadcast, 8 bytes each; more are joined by shuffling.
 BROADCAST_IDS = 2_000_000
-#: Quantile of the trusted texts' perplexity, in each language, up to which texts are kept.
-QUANTILE = 0.999
+#: Quantile of the perplexity of trusted texts that are not in the counts, in each language, up to which texts are kept.
+QUANTILE = 0.985
+#: One of so many trusted texts, by a hash of its id, is left out of the counts and sets the limits.
+HELD_OUT = 5
 QUANTILE_ACCURACY = 10_000
 
 
@@ -186,17 +188,21 @@ def text_scores(texts: DataFrame, model: DataFrame) -> DataFrame:
 def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id``, ``lang``, ``n_bytes``, ``perplexity`` per byte, its language's ``threshold`` and ``kept`` for every row of ``docs``.
 
-    Texts are trusted if ``labels`` has their ``doc_id`` with ``quality`` 1. NULL and empty texts have no perplexity and are
+    Texts are trusted if ``labels`` has their ``doc_id`` with ``quality`` 1. One in ``HELD_OUT`` of them is not counted, so
+    that its perplexity is that of a text the model has not seen; the threshold is a quantile of these, or of the
+    counted ones in a language that has no other. NULL and empty texts have no perplexity and are
     kept. A language without trusted text has no threshold, and its texts are kept; a NULL language is one like any
     other. Repeated rows count each time. Without any trusted text every byte has probability 1/256. Other columns
     are ignored; an empty table gives an empty result.
     """
-    trusted = stored(labels.where("quality = 1").select("doc_id").distinct().withColumn("trusted", F.lit(True)), "trusted")
+    counted = F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) != 0
+    trusted = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    trusted = stored(trusted.select("doc_id", F.lit(True).alias("trusted"), counted.alias("counted")), "trusted")
     if trusted.count() <= BROADCAST_IDS:
         trusted = F.broadcast(trusted)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     known = docs.select("doc_id", text.alias("text")).join(trusted, "doc_id", "left")
-    known = known.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
+    known = known.select("text", F.coalesce("counted", F.lit(False)).alias("counted"))
     counts = stored(known.mapInArrow(_count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "counts")
     model = stored(log_probabilities(counts), "model")
     # Rows that agree in all columns used here are scored alike, so their order within a task does not matter.
@@ -210,13 +216,18 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
             "n_bytes",
             F.when(F.col("n_bytes") > 0, F.exp(-F.col("logp") / F.col("n_bytes"))).alias("perplexity"),
             F.coalesce("trusted", F.lit(False)).alias("trusted"),
+            F.coalesce("counted", F.lit(False)).alias("counted"),
         ),
         "perplexities",
     )
+
+    def limit(test: Column) -> Column:
+        return F.percentile_approx(F.when(test, F.col("perplexity")), QUANTILE, QUANTILE_ACCURACY)
+
     limits = (
         rows.where("trusted and perplexity is not null")
         .groupBy(F.col("lang").alias("l"))
-        .agg(F.percentile_approx("perplexity", QUANTILE, QUANTILE_ACCURACY).alias("threshold"))
+        .agg(F.coalesce(limit(~F.col("counted")), limit(F.col("counted"))).alias("threshold"))
     )
     judged = rows.join(stored(limits, "thresholds"), F.col("lang").eqNullSafe(F.col("l")), "left")
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))

@@ -144,6 +144,20 @@ def _factor(estimate: DataFrame) -> DataFrame:
     return estimate
 
 
+#: Groups whose estimates are broadcast at most, some 250 bytes each; those of more are joined by a salted group.
+BROADCAST_GROUPS = 50_000
+SALTS = 32
+
+
+def _with_groups(rows: DataFrame, groups: DataFrame, key: str, few: bool, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of their group. A group with most rows is never gathered in one task."""
+    if few:
+        return rows.join(F.broadcast(groups), key, how)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    return salted.join(groups.select("*", salts), [key, "salt"], how).drop("salt")
+
+
 ESTIMATE = ["grp", "start", *[f"m{i}" for i in range(len(NAMES))], *[f"l{i}{j}" for i, j in PAIRS]]
 
 
@@ -151,7 +165,7 @@ def _log_determinant() -> Column:
     return sum(2 * F.log(f"l{i}{i}") for i in range(len(NAMES)))
 
 
-def _starts(rows: DataFrame) -> DataFrame:
+def _starts(rows: DataFrame, few: bool) -> DataFrame:
     """Two estimates of each group at its medians: its interquartile ranges, and these with correlations of bounded scores."""
     quartiles = rows.groupBy("grp").agg(
         *[F.percentile_approx(name, [0.25, 0.5, 0.75], QUANTILE_ACCURACY).alias(f"q{i}") for i, name in enumerate(NAMES)],
@@ -165,7 +179,7 @@ def _starts(rows: DataFrame) -> DataFrame:
         columns.append((spread if i == j else F.lit(0.0)).alias(f"l{i}{j}"))
     plain = stored(quartiles.select(columns), "mcd_start")
     score = [F.tanh((F.col(name) - F.col(f"m{i}")) / F.col(f"l{i}{i}")) for i, name in enumerate(NAMES)]
-    scores = rows.join(plain, "grp").select("grp", *[z.alias(f"z{i}") for i, z in enumerate(score)])
+    scores = _with_groups(rows, plain, "grp", few).select("grp", *[z.alias(f"z{i}") for i, z in enumerate(score)])
     related = scores.groupBy("grp").agg(*[F.covar_pop(f"z{i}", f"z{j}").alias(f"v{i}{j}") for i, j in PAIRS])
     both = plain.join(related, "grp")
     # Below 1, so that the factor exists; undefined where a score is constant.
@@ -178,15 +192,15 @@ def _starts(rows: DataFrame) -> DataFrame:
     return plain.select(ESTIMATE).union(related.select(ESTIMATE))
 
 
-def _concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+def _concentrate(rows: DataFrame, estimate: DataFrame, few: bool) -> DataFrame:
     """Mean and covariance of the ``SUPPORT`` share of each group nearest to ``estimate``, for each start."""
     near = stored(
-        _squared_distance(rows.join(estimate, "grp"))
+        _squared_distance(_with_groups(rows, estimate, "grp", few))
         .groupBy("grp", "start")
         .agg(F.percentile_approx("d2", SUPPORT, QUANTILE_ACCURACY).alias("reach")),
         "mcd_reach",
     )
-    inside = _squared_distance(rows.join(estimate.join(near, ["grp", "start"]), "grp")).where("d2 <= reach")
+    inside = _squared_distance(_with_groups(rows, estimate.join(near, ["grp", "start"]), "grp", few)).where("d2 <= reach")
     # Sums are of deviations from the present centre, so nothing cancels.
     delta = {i: F.col(name) - F.col(f"m{i}") for i, name in enumerate(NAMES)}
     sums = inside.groupBy("grp", "start").agg(
@@ -206,14 +220,14 @@ def _concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
     return _factor(moved).select(ESTIMATE)
 
 
-def _least_determinant(rows: DataFrame) -> DataFrame:
+def _least_determinant(rows: DataFrame, few: bool) -> DataFrame:
     """The estimate of each group where concentration steps from every start have ended."""
-    moving = stored(_concentrate(rows, stored(_starts(rows), "mcd")), "mcd")
+    moving = stored(_concentrate(rows, stored(_starts(rows, few), "mcd"), few), "mcd")
     ended = []
     # The covariance has a least scale and each round but the last falls by a least amount, so the rounds end.
     while not moving.isEmpty():
         before = moving.select("grp", "start", _log_determinant().alias("before"))
-        moved = _concentrate(rows, moving).withColumn("after", _log_determinant()).join(before, ["grp", "start"])
+        moved = _concentrate(rows, moving, few).withColumn("after", _log_determinant()).join(before, ["grp", "start"])
         moved = stored(moved.withColumn("falls", F.col("before") - F.col("after") >= LEAST_FALL), "mcd")
         last = moving.join(moved.where("not falls").select("grp", "start"), ["grp", "start"])
         ended.append(last.select(ESTIMATE))
@@ -261,9 +275,11 @@ def quality_rules(docs: DataFrame, keep: list[str]) -> DataFrame:
     rows = stored(stats.withColumns({**_features(stats), "base_failed": failed}), "statistics")
     fit = rows.where("not base_failed").select("grp", "tongue", *NAMES)
     judges = _judges(fit)
-    entered = fit.join(judges.select("grp", "fits"), "grp").select(F.explode("fits").alias("grp"), *NAMES)
-    estimate = _least_determinant(stored(entered, "fit")).withColumnRenamed("grp", "judge")
-    judged = _squared_distance(rows.join(judges.select("grp", "judge"), "grp", "left").join(estimate, "judge", "left"))
+    few = judges.count() <= BROADCAST_GROUPS
+    entered = _with_groups(fit, judges.select("grp", "fits"), "grp", few).select(F.explode("fits").alias("grp"), *NAMES)
+    estimate = _least_determinant(stored(entered, "fit"), few).withColumnRenamed("grp", "judge")
+    known = judges.select("grp", "judge").join(estimate, "judge", "left").drop("judge")
+    judged = _squared_distance(_with_groups(rows, known, "grp", few, "left"))
     return judged.select(
         "row.*",
         "n_words",

@@ -45,11 +45,15 @@ RECORD = pa.schema(
         ("length", pa.int64()),
         ("refers", pa.string()),
         ("block", pa.binary()),
+        ("sized", pa.bool_()),
     ]
 )
 RECORD_DDL = (
-    "kind string, record string, page string, number int, total long, digest string, length long, refers string, block binary"
+    "kind string, record string, page string, number int, total long, digest string, length long, refers string,"
+    " block binary, sized boolean"
 )
+#: What every version line begins with; archives of others are often of version 1.0.
+ANY_VERSION = "WARC/1."
 
 
 def _pieces(block: Column, size: int) -> Column:
@@ -130,14 +134,23 @@ def write_archives(pages: DataFrame, path: str) -> None:
     pieces.select(record.alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
-def _parse(head: bytes, block: bytes) -> dict:
+def _declared(head: bytes) -> int | None:
+    """The length that a record's head declares; None if it declares none or no number."""
+    for line in head.split(b"\r\n"):
+        name, colon, value = line.partition(b":")
+        if colon and name.strip().lower() == b"content-length" and value.strip().isdigit():
+            return int(value)
+    return None
+
+
+def _parse(head: bytes, block: bytes, sized: bool) -> dict:
     fields = {}
     for line in head.split(b"\r\n"):
         name, _, value = line.partition(b":")
         fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
 
     def number(name: str) -> int | None:
-        return int(fields[name]) if name in fields else None
+        return int(fields[name]) if fields.get(name, "").isdigit() else None
 
     def urn(name: str) -> str | None:
         return fields[name].removeprefix("<urn:page:").removesuffix(">") if name in fields else None
@@ -148,16 +161,18 @@ def _parse(head: bytes, block: bytes) -> dict:
         "page": fields.get("x-page-id"),
         "number": number("warc-segment-number"),
         "total": number("warc-segment-total-length"),
-        "digest": fields.get("warc-payload-digest", "").removeprefix("sha256:") or None,
+        "digest": digest.removeprefix("sha256:") if (digest := fields.get("warc-payload-digest", "")).startswith("sha256:") else None,
         "length": number("x-payload-length"),
         "refers": urn("warc-refers-to"),
         "block": block,
+        "sized": sized,
     }
 
 
 def _records(segmented: bool):
     """Records from the text between version lines, in file order. A block that holds a version line itself has
-    been cut there; its declared length tells, and it is joined again."""
+    been cut there; its declared length tells, and it is joined again. A record without a length goes on to the next
+    version line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, held_file = b"", None
@@ -167,16 +182,17 @@ def _records(segmented: bool):
                 piece, file = piece.as_py(), file.as_py()
                 if file != held_file:
                     held, held_file = b"", file
-                held = held + VERSION.encode() + piece if held else piece
+                held = held + ANY_VERSION.encode() + piece if held else piece
                 head, blank, block = held.partition(b"\r\n\r\n")
                 if not blank:
                     continue  # nothing before the first version line, or a version line inside the head
-                size = int(head.lower().rpartition(b"content-length:")[2].split(b"\r\n")[0])
-                if len(block) < size:
+                size = _declared(head)
+                if size is not None and len(block) < size:
                     continue
                 held = b""
                 if (b"\r\nwarc-segment-number:" in head.lower()) == segmented:
-                    found.append(_parse(head, block[:size]))
+                    block = block.removesuffix(END.encode()) if size is None else block[:size]
+                    found.append(_parse(head, block, size is not None))
             yield pa.RecordBatch.from_pylist(found, schema=RECORD)
 
     return run
@@ -214,11 +230,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     ``page`` (the id as text, NULL if it had none), ``record_type``, ``payload`` (NULL for revisits),
     ``payload_bytes`` and ``payload_digest`` of the full payload, ``refers`` (a page id as text), and ``sound``:
-    the pieces are all there, their lengths add up to the total, the framing was whole, and the payload has the
-    digest and the length that its record states.
+    the record states its own length, the pieces are all there, their lengths add up to the total, the framing was
+    whole, and the payload has the SHA-256 and the length that its record states, if it does. Records of every version
+    1 are read; other digests are not compared.
     """
-    raw = spark.read.option("lineSep", VERSION).text(path).select(F.col("value").cast("binary"), "_metadata.file_path")
-    single = raw.mapInArrow(_records(False), RECORD_DDL).withColumn("complete", F.lit(True))
+    raw = spark.read.option("lineSep", ANY_VERSION).text(path).select(F.col("value").cast("binary"), "_metadata.file_path")
+    single = raw.mapInArrow(_records(False), RECORD_DDL).withColumn("complete", F.col("sized"))
     pieces = raw.mapInArrow(_records(True), RECORD_DDL)
 
     def origin(column: str) -> Column:
@@ -229,11 +246,13 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         *[origin(c) for c in ("kind", "page", "digest", "length", "refers")],
         F.max("total").alias("total"),
         F.max("number").alias("last"),
+        F.bool_and("sized").alias("sized"),
         F.sort_array(F.collect_list(F.struct("number", "block"))).alias("all"),
     )
     block = F.array_join(F.transform("all", lambda p: p["block"].cast("string")), "").cast("binary")
     joined = joined.withColumn("block", block).withColumn(
-        "complete", F.coalesce((F.octet_length("block") == F.col("total")) & (F.size("all") == F.col("last")), F.lit(False))
+        "complete",
+        F.coalesce((F.octet_length("block") == F.col("total")) & (F.size("all") == F.col("last")) & F.col("sized"), F.lit(False)),
     )
     columns = ["kind", "page", "digest", "length", "refers", "block", "complete"]
     records = single.select(columns).unionByName(joined.select(columns)).where(F.col("kind").isin("response", "revisit"))
@@ -246,7 +265,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     )
     digest = F.when(F.col("payload").isNull(), F.col("digest")).otherwise(F.sha2("payload", 256))
     length = F.when(F.col("payload").isNull(), F.col("length")).otherwise(F.octet_length("payload").cast("long"))
-    sound = F.col("complete") & (F.col("payload").isNull() | (F.col("framed") & digest.eqNullSafe(F.col("digest")) & length.eqNullSafe(F.col("length"))))
+    as_stated = F.coalesce(digest == F.col("digest"), F.lit(True)) & F.coalesce(length == F.col("length"), F.lit(True))
+    sound = F.col("complete") & (F.col("payload").isNull() | (F.col("framed") & as_stated))
     return own.select(
         "page", "record_type", "payload", length.alias("payload_bytes"), digest.alias("payload_digest"), "refers", sound.alias("sound")
     )
