@@ -32,7 +32,7 @@ PART_GRAMS = 3_000_000
 #: Trusted ids that are broadcast, 8 bytes each; more are joined by shuffling.
 BROADCAST_IDS = 2_000_000
 #: Quantile of the perplexity of trusted texts that are not in the counts, in each language, up to which texts are kept.
-QUANTILE = 0.985
+QUANTILE = 0.975
 #: One of so many trusted texts, by a hash of its id, is left out of the counts and sets the limits.
 HELD_OUT = 5
 QUANTILE_ACCURACY = 10_000
