@@ -4,6 +4,8 @@ import pytest
 
 from tests.samples import event, message_rows
 from tidedesk.__main__ import main
+from tidedesk.plans.rollup import read_rollup
+from tidedesk.sources.skipping import find_contacts
 from tidedesk.sources.tables import ContactStore, read_contacts, read_dlq
 
 
@@ -44,3 +46,16 @@ def test_ingest_tail_and_replay(spark, run, tmp_path):
     for _ in range(2):
         run("replay", "--root", root, "--optional", "cola")
     assert read_contacts(spark, store.contacts).count() == 2
+    run("follow", "--root", root, "--sketched")
+    assert read_rollup(spark, store).agg({"n": "sum"}).first()[0] == 2
+    assert find_contacts(spark, store, "agente_id", "AG-007").count() == 2
+    run("vacuum", "--root", root, "--hours", "0")
+    assert read_contacts(spark, store.contacts).count() == 2
+
+
+def test_repeated_messages_are_left_out(spark, run, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "root")
+    message_rows(spark, *[json.dumps(event())] * 5, "x", "x").write.parquet(inbox)
+    run("ingest", "--files", inbox, "--root", root, "--checkpoint", str(tmp_path / "cp"), "--drain", "--unique", "1 hour", "--spread", "3")
+    store = ContactStore(root)
+    assert (read_contacts(spark, store.contacts).count(), read_dlq(spark, store.dlq).count()) == (1, 2)

@@ -14,6 +14,7 @@ from tidedesk.functions.contact import event_date
 from tidedesk.operators.validate import replay_dlq, valid_rows
 from tidedesk.schema import CONTACT_SCHEMA, REQUIRED_FIELDS
 from tidedesk.sources.commits import Change, Part, State
+from tidedesk.sources.messages import spread
 from tidedesk.sources.tables import (
     CLUSTER_BY,
     DAY,
@@ -75,7 +76,8 @@ def replay_store(
         if repaired is not None:
             letters = letters.join(repaired, ["huella", DLQ_DAY], "left_anti")
         load = f"{REPLAY_LOAD}-{uuid.uuid4().hex}"
-        outcome = replay_dlq(letters, required, keep=["huella", DLQ_DAY]).where(F.col("error").isNull()).persist()
+        # The letters of a day may lie in one file.
+        outcome = replay_dlq(spread(letters), required, keep=["huella", DLQ_DAY]).where(F.col("error").isNull()).persist()
         try:
             texts = [f.name for f in CONTACT_SCHEMA if f.name in REQUIRED_FIELDS and isinstance(f.dataType, T.StringType)]
             rows = valid_rows(outcome).withColumns({name: F.coalesce(name, F.lit("")) for name in texts})

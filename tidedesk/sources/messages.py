@@ -53,6 +53,15 @@ def read_message_files(spark: SparkSession, path: str, max_files: int = 1000) ->
     return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
+def spread(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows dealt out evenly to ``tasks``, or as many as the session runs at a time, before they are parsed.
+
+    For a source with fewer partitions than there are cores, such as one large file: to parse a message costs far more
+    than to move it. A topic with enough partitions is better left as it is.
+    """
+    return rows.repartition(tasks or rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def attribute(key: str) -> Column:
     """A message attribute as text, NULL when absent; the payload is not opened."""
     return F.get(F.filter("headers", lambda h: h["key"] == key), F.lit(0))["value"].cast("string")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 from functools import reduce
 
@@ -62,7 +62,12 @@ def over_dashboard(name: str, job: Callable[[DataFrame], DataFrame]) -> None:
 
 
 def _validated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate(payloads(contacts(spark, sf_dir)))
+    return validate(_payloads(spark, sf_dir))
+
+
+def _payloads(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Messages from one file of events, which one task reads, dealt out to all cores."""
+    return payloads(messages.spread(contacts(spark, sf_dir)), keep=keep)
 
 
 # KPI views
@@ -252,15 +257,14 @@ def _publish_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("attr_filter")
 def _attr_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    picked = messages.with_channel(payloads(contacts(spark, sf_dir)), "click", "view")
+    picked = messages.with_channel(_payloads(spark, sf_dir), "click", "view")
     return validate(picked).select("raw_payload", "error")
 
 
 @query("dlq_summary")
 def _dlq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejects per day and reason, taken for captured when their contact happened."""
-    rows = contacts(spark, sf_dir)
-    sent = payloads(rows, keep=["timestamp_evento"])
+    sent = _payloads(spark, sf_dir, keep=["timestamp_evento"])
     rejected = dlq_rows(validate(sent, keep=["timestamp_evento"]), ingested_at=F.col("timestamp_evento"))
     return quality.dlq_summary(rejected)
 
@@ -385,7 +389,7 @@ def _catalog_after_maintenance(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming
 def _ingested(spark: SparkSession, sf_dir: str, store: ContactStore | None = None) -> ContactStore:
     store = store or ContactStore(work_dir(spark, "ingest"))
-    stream = payloads(contact_stream(spark, sf_dir, max_files=1000))
+    stream = payloads(messages.spread(contact_stream(spark, sf_dir, max_files=1000)))
     start_ingest(stream, store, f"{store.root}/checkpoint", drain=True).awaitTermination()
     return store
 
@@ -405,7 +409,7 @@ def _stream_ingest_dlq(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_ingest_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contacts of a stream that brings every message three times."""
     store = ContactStore(work_dir(spark, "unique"))
-    sent = payloads(contact_stream(spark, sf_dir, max_files=1000))
+    sent = payloads(messages.spread(contact_stream(spark, sf_dir, max_files=1000)))
     thrice = sent.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(3)))).drop("k")
     start_ingest(thrice, store, f"{store.root}/checkpoint", drain=True, unique_within="1 hour").awaitTermination()
     return tables.read_contacts(spark, store.contacts).select(*CONTACT_COLUMNS)
