@@ -1,12 +1,14 @@
 """Operators that SQL can express, against that SQL over the driver's tables."""
 
+import os
+
 import duckdb
 import pytest
 
 from tests.compare import assert_equal
 from tidedesk.llm.queries import LLM_ORACLE, LLM_QUERIES
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.mark.parametrize("key", sorted(LLM_ORACLE))
