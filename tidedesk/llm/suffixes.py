@@ -6,8 +6,10 @@ prefix behind its own and moves up behind the members that do not; a member foll
 what follows it is its next smaller suffix. Groups are named by the place where they begin in the final order, so a
 split renames nothing else. All groups whose members wait for no unsettled one are settled at the same time.
 
-Phase 2 emits the order from the lowest suffix on: each suffix puts those that it follows as next smaller suffix
-into the next free places of their groups.
+Phase 2 emits the order of each group from that of the suffixes its members follow as next smaller ones: they are lower,
+so their places are known first. A member behind which its own prefix comes again goes by the last of the run, shorter
+runs first, as what follows a run is lower than the prefix. A group of one member is at its place already, and all groups
+that wait for none are emitted at the same time.
 """
 
 from __future__ import annotations
@@ -66,20 +68,35 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     """The order of all suffixes of ``text``, non-negative integers ending with 0. Zeros count as distinct, in order."""
     group, length = lyndon_groups(text)
     n = len(text)
-    smaller = np.arange(n) + length  # next smaller suffix
-    inner = np.nonzero(text)[0]
-    by_smaller = inner[np.argsort(smaller[inner], kind="stable")]
-    begins = np.searchsorted(smaller[by_smaller], np.arange(n + 1)).tolist()
-    follows, groups, free = by_smaller.tolist(), group.tolist(), list(range(n))
-    zeros = np.nonzero(text == 0)[0].tolist()
-    order = zeros + [0] * (n - len(zeros))
-    for i in range(n):
-        s = order[i]
-        for j in follows[begins[s] : begins[s + 1]]:
-            g = groups[j]
-            order[free[g]] = j
-            free[g] += 1
-    return np.array(order, np.int64)
+    zeros = np.nonzero(text == 0)[0]
+    place = np.full(n, -1, np.int64)
+    place[zeros] = np.arange(len(zeros))
+    alone = (np.bincount(group, minlength=n)[group] == 1) & (text != 0)
+    place[alone] = group[alone]
+    waiting = np.nonzero(place < 0)[0]
+    # The next smaller suffix behind a run of equal prefixes, and the run's length; both double while they grow.
+    behind, run = np.arange(n) + length, np.ones(n, np.int64)
+    behind[zeros] = zeros
+    on = waiting[group[behind[waiting]] == group[waiting]]
+    while len(on):
+        run[on], behind[on] = run[on] + run[behind[on]], behind[behind[on]]
+        on = on[group[behind[on]] == group[on]]
+    blocked = np.zeros(n, bool)
+    while len(waiting):
+        own, lower = group[waiting], place[behind[waiting]]
+        blocked[own[lower < 0]] = True
+        free = ~blocked[own]
+        at, own, lower = waiting[free], own[free], lower[free]
+        order = np.lexsort((run[at] * n + lower, own))
+        own, at = own[order], at[order]
+        index = np.arange(len(own))
+        begins = np.concatenate(([True], own[1:] != own[:-1]))
+        place[at] = own + index - np.maximum.accumulate(np.where(begins, index, 0))
+        waiting = waiting[~free]
+        blocked[group[waiting]] = False
+    order = np.empty(n, np.int64)
+    order[place] = np.arange(n)
+    return order
 
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
