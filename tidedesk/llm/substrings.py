@@ -39,7 +39,9 @@ BLOCK_BYTES = 12 * 1024 * 1024
 #: Bytes that a map task gathers before it sends.
 SEND_BYTES = 8 * 1024 * 1024
 #: Characters that are suffix-sorted together, about; a seed's variants are never parted.
-SORT_CHARS = 1 << 14
+SORT_CHARS = 1 << 16
+#: Variants whose windows are compared with the decided ones at a time.
+DECIDE_VARIANTS = 1 << 18
 #: Bits of a seed's hash that are compared inside a shard. Seeds that agree by chance cost work, not exactness.
 LOW = np.uint64(0xFFFFFFFF)
 
@@ -320,7 +322,7 @@ def _variants(shards: int):
     return run
 
 
-def least_documents(variants: list[bytes], docs: list[int]) -> list[np.ndarray]:
+def least_documents(variants: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     """For every 50-byte window of each variant, the least of ``docs`` that has it in one of its variants."""
     sizes = np.array([len(v) for v in variants], np.int64)
     raw = np.frombuffer(b"\0".join(variants) + b"\0", np.uint8)
@@ -340,10 +342,22 @@ def least_documents(variants: list[bytes], docs: list[int]) -> list[np.ndarray]:
     return [at[e - s : e - WINDOW + 1] for s, e in zip(sizes.tolist(), ends.tolist())]
 
 
+def _lost(found: np.ndarray, begin: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Runs of windows that a smaller document than the variant's has: rows of (variant, first, last). ``found`` is the
+    least document of each window, and a variant's ``sizes`` windows begin there at ``begin``."""
+    variant = np.repeat(np.arange(len(sizes)), sizes)
+    window = np.arange(len(variant)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    lost = np.nonzero(found[begin[variant] + window] < docs[variant])[0]
+    variant, window = variant[lost], window[lost]
+    if not len(lost):
+        return np.zeros((0, 3), np.int64)
+    cut = np.concatenate(([True], (variant[1:] != variant[:-1]) | (window[1:] != window[:-1] + 1)))
+    return np.stack((variant[cut], window[cut], window[np.concatenate((cut[1:], [True]))]), axis=1)
+
+
 def _decide(sent: pa.Table) -> pa.Table:
     """Step 3: which windows of the sent variants a smaller document has, as merged intervals for each block."""
-    pieces, rels, docs, rows, firsts, blocks = [], [], [], [], [], []
-    out = []
+    pieces, rels, parts, out = [], [], [], []
     for n in range(sent.num_rows):
         if not len(sent["sizes"][n].as_py()):
             out.append((sent["block"][n].as_py(), sent["rows"][n].as_py()))
@@ -352,47 +366,55 @@ def _decide(sent: pa.Table) -> pa.Table:
         data, ends = _unpacked(sent["variants"][n].as_py()), np.cumsum(sizes).tolist()
         pieces += [data[a:b] for a, b in zip([0, *ends], ends)]
         rels += list(_unpacked(sent["rels"][n].as_py()))
-        for into, name in ((docs, "docs"), (rows, "rows"), (firsts, "firsts")):
-            into += np.frombuffer(_unpacked(sent[name][n].as_py()), np.int64).tolist()
-        blocks += [sent["block"][n].as_py()] * len(sizes)
-    least: dict[tuple[int, bytes], int] = {}
-    for key in zip(rels, pieces, docs):
-        least[key[:2]] = min(key[2], least.get(key[:2], key[2]))
-    by_seed: dict[bytes, list[tuple[int, bytes]]] = {}
-    for key in least:
-        by_seed.setdefault(key[1][key[0] : key[0] + SEED_BYTES], []).append(key)
-    windows: dict[tuple[int, bytes], np.ndarray] = {}
-    held: list[tuple[int, bytes]] = []
+        doc, row, first = (np.frombuffer(_unpacked(sent[c][n].as_py()), np.int64) for c in ("docs", "rows", "firsts"))
+        parts.append((doc, row, first, np.full(len(doc), sent["block"][n].as_py(), np.int64)))
+    if not parts:
+        return pa.Table.from_batches([_batch(IDS, out)] if out else [], schema=IDS)
+    docs, rows, firsts, blocks = (np.concatenate(c) for c in zip(*parts))
+    numbers: dict[tuple[int, bytes], int] = {}
+    key = np.array([numbers.setdefault(k, len(numbers)) for k in zip(rels, pieces)], np.int64)
+    keys = [v for _, v in numbers]
+    sizes = np.array([len(v) for v in keys], np.int64)
+    least = np.full(len(keys), np.iinfo(np.int64).max)
+    np.minimum.at(least, key, docs)
+    by_seed: dict[bytes, list[int]] = {}
+    for (rel, v), number in numbers.items():
+        by_seed.setdefault(v[rel : rel + SEED_BYTES], []).append(number)
+    # Where the windows of a sorted variant begin in the decided ones.
+    begin, decided, done = np.full(len(keys), -1, np.int64), [np.zeros(0, np.int64)], 0
+    held: list[int] = []
 
     def sort_held() -> None:
+        nonlocal done
         if held:
-            windows.update(zip(held, least_documents([v for _, v in held], [least[k] for k in held])))
+            found = least_documents([keys[k] for k in held], least[held])
+            ends = np.cumsum([len(f) for f in found]) + done
+            begin[held] = np.concatenate(([done], ends[:-1]))
+            done = int(ends[-1])
+            decided.extend(found)
             held.clear()
 
     size = 0
-    for keys in by_seed.values():
-        if len(keys) > 1:
-            held += keys
-            size += sum(len(v) + 1 for _, v in keys)
+    for same in by_seed.values():
+        if len(same) > 1:
+            held += same
+            size += sum(len(keys[k]) + 1 for k in same)
         if size >= SORT_CHARS:
             sort_held()
             size = 0
     sort_held()
-    gone: dict[int, list[tuple[int, int, int]]] = {}
-    for key, doc, row, first, block in zip(zip(rels, pieces), docs, rows, firsts, blocks):
-        found = windows.get(key)
-        if found is None:
-            if least[key] < doc:
-                gone.setdefault(block, []).append((row, first, first + len(key[1])))
-            continue
-        lost = np.nonzero(found < doc)[0]
-        if len(lost):
-            cuts = np.nonzero(np.diff(lost) > 1)[0]
-            for a, b in zip(lost[np.concatenate(([0], cuts + 1))].tolist(), lost[np.concatenate((cuts, [-1]))].tolist()):
-                gone.setdefault(block, []).append((row, first + a, first + b + WINDOW))
-    for block, spans in gone.items():
-        row, start, end = np.array(spans, np.int64).T
-        out.append((block, _merged(row, start, end).tobytes()))
+    whole = np.nonzero((begin[key] < 0) & (least[key] < docs))[0]
+    spans = [np.stack((blocks[whole], rows[whole], firsts[whole], firsts[whole] + sizes[key[whole]]), axis=1)]
+    found, part = np.concatenate(decided), np.nonzero(begin[key] >= 0)[0]
+    for at in range(0, len(part), DECIDE_VARIANTS):
+        some = part[at : at + DECIDE_VARIANTS]
+        which, a, b = _lost(found, begin[key[some]], sizes[key[some]] - WINDOW + 1, docs[some]).T
+        some = some[which]
+        spans.append(np.stack((blocks[some], rows[some], firsts[some] + a, firsts[some] + b + WINDOW), axis=1))
+    gone = np.concatenate(spans)
+    gone = gone[np.argsort(gone[:, 0], kind="stable")]
+    for of in np.split(gone, np.nonzero(np.diff(gone[:, 0]))[0] + 1) if len(gone) else []:
+        out.append((int(of[0, 0]), _merged(*of[:, 1:].T).tobytes()))
     return pa.Table.from_batches([_batch(IDS, out)] if out else [], schema=IDS)
 
 
