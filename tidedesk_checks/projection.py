@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidedesk.schema import CONTACT_COLUMNS
@@ -21,18 +21,20 @@ SCHEMAS = {
     "region": "r_regionkey int, r_name string",
 }
 # --- End of fixed values ------------------------------------------------------------------------------
+#: A customer with a larger part of the events than one in so many is hot.
+HOT_SHARE = 1000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def project_events(events: DataFrame, customers: DataFrame) -> DataFrame:
+def project_events(events: DataFrame, customers: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
     """Contacts from ``events`` rows and the segment and region of each customer.
 
     Beyond the broadcast limit this is a sort-merge join on the customer, in which adaptive execution
     splits a customer with very many events over several tasks once its partition exceeds the
-    session's skew threshold.
+    session's skew threshold. Customers that are ``salted`` are those in ``hot``.
     """
     e, uid = F.col("event_id"), F.col("user_id")
     k = F.get_json_object("props", "$.k").cast("int")
@@ -44,7 +46,7 @@ def project_events(events: DataFrame, customers: DataFrame) -> DataFrame:
 
     same = uid == F.col("c_custkey")
     if "c_salt" in customers.columns:
-        same = same & (F.pmod(e, F.lit(SALTS)) == F.col("c_salt"))
+        same = same & (_salt(uid, hot, F.pmod(e, F.lit(SALTS)), F.lit(0)) == F.col("c_salt"))
     return (
         events.join(customers, same)
         .withColumn("abandonado", abandoned)
@@ -103,15 +105,29 @@ def contact_stream(spark: SparkSession, sf_dir: str, max_files: int | None = Non
     places = customer_places(spark, sf_dir)
     if fits_broadcast(_table(spark, sf_dir, "customer")):
         return project_events(events, places)
-    return project_events(events, salted(places))
+    hot = hot_customers(_table(spark, sf_dir, "events"))
+    return project_events(events, salted(places, hot) if hot else places, hot)
 
 
-def salted(places: DataFrame) -> DataFrame:
-    """Places dealt out over ``SALTS`` tasks per customer, for joins that cannot be split as they run.
+def hot_customers(events: DataFrame) -> list[int]:
+    """Customers with more than one in ``HOT_SHARE`` of the events that are there, so fewer than that."""
+    counted = events.where("user_id IS NOT NULL").groupBy("user_id").agg(F.count("*").alias("n"))
+    return [row[0] for row in counted.where(F.col("n") * HOT_SHARE > events.count()).select("user_id").collect()]
 
-    A plan in a stream is not adaptive: without a salt all events of a hot customer meet in one task.
+
+def _salt(customer: Column, hot: Sequence[int], value: Column, other: Column) -> Column:
+    return F.when(customer.isin(*hot), value).otherwise(other)
+
+
+def salted(places: DataFrame, hot: Sequence[int]) -> DataFrame:
+    """Places of ``hot`` customers dealt out over ``SALTS`` tasks each, for joins that cannot be split as they run.
+
+    A plan in a stream is not adaptive: without a salt all events of a hot customer meet in one task. With one for
+    every customer, there would be more places to shuffle and sort than events. A customer who becomes hot after
+    the stream began is joined unsalted.
     """
-    return places.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("c_salt"))
+    every = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    return places.select("*", F.explode(_salt(F.col("c_custkey"), hot, every, F.array(F.lit(0)))).alias("c_salt"))
 
 
 def payloads(rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
